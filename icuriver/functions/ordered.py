@@ -3,6 +3,8 @@
 A window partitioned by the visit puts a whole visit into one task. Here a visit
 with more rows than the limit is cut into time chunks; each chunk is scanned on
 its own and the state that crosses chunk borders travels in a small carry table.
+One aggregate job finds the hot visits first; without any, the plan is the plain
+window.
 
 Sizes: the limit is at least a 10 000th of all rows, so at most ``MAX_HOT`` visits
 are hot. A visit of n rows gets ``OVERSPLIT * n / limit`` chunks, so the carry
@@ -77,27 +79,34 @@ def ordered_scan(
     last, following, lead, totals = last or {}, following or {}, lead or {}, totals or {}
     keys, order = list(keys), list(order)
     df = df.where(F.col(order[0]).isNotNull()).dropna(subset=keys)
-    hot = hot_keys(df, keys, order[0], min_rows)
-    split = df.join(F.broadcast(hot), keys, "left").withColumn(
-        _CHUNK,
-        F.coalesce(F.floor((_position(df, order[0]) - F.col(_LOW)) / F.col(_SPAN)), F.lit(0)).cast("long"),
-    )
+    wanted = hot_keys(df, keys, order[0], min_rows)
+    rows = wanted.collect()
+    if rows:
+        hot = df.sparkSession.createDataFrame(rows, wanted.schema)
+        split = df.join(F.broadcast(hot), keys, "left").withColumn(
+            _CHUNK,
+            F.coalesce(F.floor((_position(df, order[0]) - F.col(_LOW)) / F.col(_SPAN)), F.lit(0)).cast("long"),
+        )
+        cut = [_LOW, _CHUNK]
+    else:
+        split, cut = df, []
     # the chunk origin is part of the key so that "hot rows only" filters below the window
-    here = Window.partitionBy(*keys, _LOW, _CHUNK).orderBy(*order)
+    here = Window.partitionBy(*keys, *cut).orderBy(*order)
     along = Window.partitionBy(*keys).orderBy(_CHUNK)
     before = along.rowsBetween(Window.unboundedPreceding, -1)
     after = along.rowsBetween(1, Window.unboundedFollowing)
 
     if number:
-        sizes = split.where(F.col(_LOW).isNotNull()).groupBy(*keys, _CHUNK).agg(F.count(F.lit(1)).alias("_n"))
-        offsets = sizes.select(*keys, _CHUNK, F.sum("_n").over(before).alias("_offset"))
-        local_number = F.row_number().over(here).cast("long")
-        split = (
-            split.withColumn(number, local_number)
-            .join(F.broadcast(offsets), [*keys, _CHUNK], "left")
-            .withColumn(number, F.col(number) + F.coalesce("_offset", F.lit(0)))
-            .drop("_offset")
-        )
+        numbered = split.withColumn(number, F.row_number().over(here).cast("long"))
+        if cut:
+            sizes = split.where(F.col(_LOW).isNotNull()).groupBy(*keys, _CHUNK).agg(F.count(F.lit(1)).alias("_n"))
+            offsets = sizes.select(*keys, _CHUNK, F.sum("_n").over(before).alias("_offset"))
+            numbered = (
+                numbered.join(F.broadcast(offsets), [*keys, _CHUNK], "left")
+                .withColumn(number, F.col(number) + F.coalesce("_offset", F.lit(0)))
+                .drop("_offset")
+            )
+        split = numbered
     columns = df.columns + ([number] if number else [])
     if not (last or following or lead or totals):
         return split.select(*columns)
@@ -117,6 +126,9 @@ def ordered_scan(
     for n in totals:
         local[f"_l_{n}"] = F.sum(f"_v_{n}").over(upto)
     scanned = split.select("*", *[c.alias(n) for n, c in local.items()])
+    if not cut:
+        done = [F.col(f"_l_{n}").alias(n) for n in [*last, *following, *totals]]
+        return scanned.select(*columns, *done, *[F.col(f"_l_{n}.v").alias(n) for n in lead])
 
     rank = F.struct(*order)
     parts: list[Column] = []

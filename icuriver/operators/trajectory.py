@@ -59,7 +59,7 @@ def longest_trajectory(steps: DataFrame, *, visit: str = VISIT) -> DataFrame:
     )
 
 
-def longest_by_done(steps: DataFrame, *, order: Sequence[str], visit: str = VISIT) -> DataFrame:
+def longest_by_done(steps: DataFrame, *, visit: str = VISIT) -> DataFrame:
     """The source's literal count (E12): ids are a running sum of ``done`` over the
     whole table, the terminal row included, so it joins the next trajectory.
 

@@ -35,22 +35,33 @@ def _position(df: DataFrame, order: str) -> Column:
     return F.col(order).cast("double")
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], order: str, min_rows: int | None = None) -> DataFrame:
-    """Keys whose row count exceeds the limit, with the origin and width of their chunks."""
-    min_rows = HOT_MIN_ROWS if min_rows is None else min_rows
-    per_key = df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.min(_position(df, order)).alias("_lo"),
-        F.max(_position(df, order)).alias("_hi"),
-    )
-    total = per_key.agg(F.sum("_n")).scalar()
-    limit = F.greatest(F.lit(float(min_rows)), total / F.lit(float(MAX_HOT)))
-    chunks = F.ceil(F.col("_n") * OVERSPLIT / limit)
-    return per_key.where(F.col("_n") > limit).select(
-        *keys,
-        F.col("_lo").cast("double").alias(_LOW),
-        ((F.col("_hi") - F.col("_lo") + 1) / chunks).cast("double").alias(_SPAN),
+def hot_keys(df: DataFrame, keys: Sequence[str], order: str, min_rows: int | None = None) -> DataFrame | None:
+    """Keys whose row count exceeds the limit, with the origin and width of their chunks.
+
+    One aggregate returns the largest count; only if it is above the limit are the at
+    most ``MAX_HOT`` hot keys fetched. None if there are none.
+    """
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    largest, total = sizes.agg(F.max("_n"), F.sum("_n")).first()
+    limit = max(HOT_MIN_ROWS if min_rows is None else min_rows, (total or 0) / MAX_HOT)
+    if largest is None or largest <= limit:
+        return None
+    span = F.col("_hi") - F.col("_lo") + 1
+    hot = (
+        df.groupBy(*keys)
+        .agg(
+            F.count(F.lit(1)).alias("_n"),
+            F.min(_position(df, order)).alias("_lo"),
+            F.max(_position(df, order)).alias("_hi"),
+        )
+        .where(F.col("_n") > limit)
+        .select(
+            *keys,
+            F.col("_lo").cast("double").alias(_LOW),
+            (span / F.ceil(F.col("_n") * OVERSPLIT / F.lit(limit))).cast("double").alias(_SPAN),
+        )
     )
+    return df.sparkSession.createDataFrame(hot.collect(), hot.schema)
 
 
 def ordered_scan(
@@ -79,10 +90,8 @@ def ordered_scan(
     last, following, lead, totals = last or {}, following or {}, lead or {}, totals or {}
     keys, order = list(keys), list(order)
     df = df.where(F.col(order[0]).isNotNull()).dropna(subset=keys)
-    wanted = hot_keys(df, keys, order[0], min_rows)
-    rows = wanted.collect()
-    if rows:
-        hot = df.sparkSession.createDataFrame(rows, wanted.schema)
+    hot = hot_keys(df, keys, order[0], min_rows)
+    if hot is not None:
         split = df.join(F.broadcast(hot), keys, "left").withColumn(
             _CHUNK,
             F.coalesce(F.floor((_position(df, order[0]) - F.col(_LOW)) / F.col(_SPAN)), F.lit(0)).cast("long"),

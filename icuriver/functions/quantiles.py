@@ -1,8 +1,9 @@
 """Exact, linearly interpolated quantiles without holding a group in one task.
 
-The built-in exact percentile keeps every distinct value of a group in one
-buffer. Here a mergeable sketch brackets each wanted rank, one partial-aggregated
-pass counts the values inside the bracket, and only those counts are ordered.
+The built-in exact percentile keeps every distinct value of a group in one buffer.
+Here a mergeable sketch brackets each wanted rank. One partial-aggregated pass then
+keeps the values inside the brackets and only counts the rows between them, and the
+ranks are read off that compressed distribution.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-ACCURACY = 100_000
+ACCURACY = 20_000
 
 
 def quantile_table(
@@ -20,67 +21,69 @@ def quantile_table(
 ) -> DataFrame:
     """Rows ``(key, prob, n, quantile)``.
 
-    ``key`` must take few values (columns or dictionary features): the brackets of
-    all keys travel as one map. The bracket spans 4/accuracy of a key's rows, or
-    all of them while there are fewer than ``8 * accuracy``.
+    ``key`` must take few values (columns or dictionary features): the brackets of all
+    keys travel as one map. A bracket spans 4/accuracy of a key's rows, or all of them
+    while there are fewer than ``4 * accuracy``. A rank outside its bracket would be an
+    error, never a wrong value.
     """
+    probs = sorted(set(probs))
+    margin = 2.0 / accuracy
     data = df.select(key.alias("_k"), value.cast("double").alias("_v")).where(
         F.col("_v").isNotNull() & ~F.isnan("_v") & F.col("_k").isNotNull()
     )
-    low = [max(p - 2.0 / accuracy, 0.0) for p in probs]
-    high = [min(p + 2.0 / accuracy, 1.0) for p in probs]
+    asked = [max(p - margin, 0.0) for p in probs] + [min(p + margin, 1.0) for p in probs]
     sketch = data.groupBy("_k").agg(
         F.count("_v").alias("n"),
         F.min("_v").alias("lo"),
         F.max("_v").alias("hi"),
-        F.percentile_approx("_v", low + high, accuracy).alias("q"),
+        F.percentile_approx("_v", asked, accuracy).alias("q"),
     )
-    whole = F.col("n") < 8 * accuracy
+    small = F.col("n") < 4 * accuracy
     brackets = F.array(
         *[
             F.struct(
-                F.lit(i).alias("i"),
-                F.lit(float(p)).alias("p"),
-                F.col("n"),
-                (F.lit(float(p)) * (F.col("n") - 1)).alias("h"),
-                (F.when(whole | F.lit(p <= 2.0 / accuracy), F.col("lo")).otherwise(F.col("q")[i])).alias("lo"),
-                (F.when(whole | F.lit(p >= 1 - 2.0 / accuracy), F.col("hi")).otherwise(F.col("q")[len(probs) + i])).alias("hi"),
+                F.when(small | F.lit(p <= margin), F.col("lo")).otherwise(F.col("q")[i]).alias("lo"),
+                F.when(small | F.lit(p >= 1 - margin), F.col("hi")).otherwise(F.col("q")[len(probs) + i]).alias("hi"),
             )
             for i, p in enumerate(probs)
         ]
     )
     lookup = sketch.agg(F.map_from_entries(F.collect_list(F.struct(F.col("_k"), brackets)))).scalar()
+
+    v, b = F.col("_v"), F.col("_b")
+    passed = sum(((v > b[i]["hi"]).cast("int") for i in range(len(probs))), F.lit(0))
+    inside = F.lit(False)
+    for i in range(len(probs)):
+        inside = inside | ((F.col("_seg") == i) & (v >= b[i]["lo"]))
     counts = (
         data.withColumn("_m", lookup)
-        .select("_k", "_v", F.explode(F.element_at("_m", F.col("_k"))).alias("b"))
-        .where(F.col("_v") <= F.col("b.hi"))
-        .groupBy(
-            "_k", F.col("b.i").alias("i"), F.col("b.p").alias("p"), F.col("b.n").alias("n"),
-            F.col("b.h").alias("h"),
-            F.when(F.col("_v") >= F.col("b.lo"), F.col("_v")).alias("v"),
-        )
-        .agg(F.count(F.lit(1)).alias("c"))
-    )
-    upto = Window.partitionBy("_k", "i").orderBy(F.col("v").asc_nulls_first()).rowsBetween(
-        Window.unboundedPreceding, 0
+        .select("_k", "_v", F.element_at("_m", F.col("_k")).alias("_b"))
+        .withColumn("_seg", passed)
+        .select("_k", "_seg", F.when(inside, v).alias("_x"))
+        .groupBy("_k", "_seg", "_x")
+        .agg(F.count(F.lit(1)).alias("_c"))
     )
-    base = F.floor("h")
-    picked = (
-        counts.withColumn("cum", F.sum("c").over(upto))
-        .groupBy("_k", "i", "p", "n", "h")
-        .agg(
-            F.min(F.when(F.col("cum") > base, F.coalesce(F.col("v"), F.lit(float("-inf"))))).alias("a"),
-            F.min(F.when(F.col("cum") > F.least(base + 1, F.col("n") - 1), F.col("v"))).alias("b"),
-        )
-    )
-    exact = F.col("a").isNotNull() & F.col("b").isNotNull() & (F.col("a") > F.lit(float("-inf")))
-    return picked.select(
-        F.col("_k").alias("key"),
-        F.col("p").alias("prob"),
-        "n",
-        F.when(exact, F.col("a") + (F.col("h") - F.floor("h")) * (F.col("b") - F.col("a")))
-        .otherwise(F.raise_error(F.lit("quantile bracket missed its rank")).cast("double"))
-        .alias("quantile"),
+    # sorted distribution: per segment the uncounted stretch first, then the kept values
+    order = Window.partitionBy("_k").orderBy("_seg", F.col("_x").asc_nulls_first())
+    ranked = counts.withColumn("_cum", F.sum("_c").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    whole = Window.partitionBy("_k")
+    ranked = ranked.withColumn("n", F.sum("_c").over(whole))
+    spot = F.struct("_seg", F.col("_x").isNotNull().alias("kept"), F.col("_x").alias("x"))
+    found = []
+    for i, p in enumerate(probs):
+        h = F.lit(float(p)) * (F.col("n") - 1)
+        found.append(F.min(F.when(F.col("_cum") > F.floor(h), spot)).alias(f"a{i}"))
+        found.append(F.min(F.when(F.col("_cum") > F.least(F.floor(h) + 1, F.col("n") - 1), spot)).alias(f"b{i}"))
+    picked = ranked.groupBy("_k", "n").agg(*found)
+    rows = []
+    for i, p in enumerate(probs):
+        h = F.lit(float(p)) * (F.col("n") - 1)
+        a, z = F.col(f"a{i}"), F.col(f"b{i}")
+        exact = a["x"] + (h - F.floor(h)) * (z["x"] - a["x"])
+        missed = F.raise_error(F.lit("quantile bracket missed its rank")).cast("double")
+        rows.append(F.struct(F.lit(float(p)).alias("prob"), F.when(a["kept"] & z["kept"], exact).otherwise(missed).alias("quantile")))
+    return picked.select(F.col("_k").alias("key"), "n", F.explode(F.array(*rows)).alias("r")).select(
+        "key", "r.prob", "n", "r.quantile"
     )
 
 
@@ -89,13 +92,10 @@ def quantile_lookup(
 ) -> Column:
     """Scalar subquery: map of key to the list of quantiles in the order of ``probs``."""
     table = quantile_table(df, key, value, probs, accuracy)
-    per_key = table.groupBy("key").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("prob", "quantile"))), lambda x: x["quantile"]).alias("q")
-    )
-    ranks = sorted(range(len(probs)), key=lambda i: probs[i])
-    place = {i: r for r, i in enumerate(ranks)}
-    ordered = F.array(*[F.col("q")[place[i]] for i in range(len(probs))])
-    return per_key.agg(F.map_from_entries(F.collect_list(F.struct(F.col("key"), ordered)))).scalar()
+    by_prob = F.map_from_entries(F.collect_list(F.struct("prob", "quantile")))
+    per_key = table.groupBy("key").agg(by_prob.alias("q"))
+    wanted = F.array(*[F.element_at("q", F.lit(float(p))) for p in probs])
+    return per_key.agg(F.map_from_entries(F.collect_list(F.struct(F.col("key"), wanted)))).scalar()
 
 
 def column_quantiles(
@@ -112,6 +112,10 @@ def column_quantile_lookup(
 
 
 def _melt(df: DataFrame, columns: Mapping[str, Column]) -> tuple[DataFrame, Column, Column]:
+    """Columns as (name, value) rows; a single column needs no explode."""
+    if len(columns) == 1:
+        ((name, value),) = columns.items()
+        return df, F.lit(name), value
     cells = F.array(
         *[F.struct(F.lit(n).alias("k"), c.cast("double").alias("v")) for n, c in columns.items()]
     )

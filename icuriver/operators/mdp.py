@@ -82,13 +82,17 @@ def q_values(
     discount: float = 0.99,
     n_actions: int = N_ACTIONS,
     checkpoint_every: int = SWEEPS_PER_CHECKPOINT,
+    cut_input: bool = True,
 ) -> DataFrame:
     """Synchronous expected Q updates over the empirical model (G5), rows (state, action, q).
 
     Q <- Q + rate * (reward + discount * sum P * max Q(next) - Q), starting from zero;
-    a terminal next state is worth 0. Lineage is cut every few sweeps.
+    a terminal next state is worth 0. Lineage is cut every few sweeps, and once before
+    them unless the model is already materialised (``cut_input=False``).
     """
-    mdp = cut_lineage(mdp.select(*PAIR, "next_state", "probability", "expected_reward"))
+    mdp = mdp.select(*PAIR, "next_state", "probability", "expected_reward")
+    if cut_input:
+        mdp = cut_lineage(mdp)
     moves = mdp.where(F.col("next_state") != TERMINAL)
     q = mdp.select(*PAIR, "expected_reward").distinct().withColumn("q", F.lit(0.0))
     for sweep in range(1, sweeps + 1):
@@ -150,7 +154,12 @@ def as_stochastic(policy: DataFrame) -> DataFrame:
 
 
 def policy_value(
-    policy: DataFrame, mdp: DataFrame, *, steps: int = 100, checkpoint_every: int = SWEEPS_PER_CHECKPOINT
+    policy: DataFrame,
+    mdp: DataFrame,
+    *,
+    steps: int = 100,
+    checkpoint_every: int = SWEEPS_PER_CHECKPOINT,
+    cut_input: bool = True,
 ) -> DataFrame:
     """Exact mean and deviation of the undiscounted return over at most ``steps`` steps.
 
@@ -158,7 +167,9 @@ def policy_value(
     is not in the model or the state is terminal. First and second moments obey the
     same backward recursion, so no episode is sampled.
     """
-    mdp = cut_lineage(mdp.select(*PAIR, "next_state", "probability", "expected_reward"))
+    mdp = mdp.select(*PAIR, "next_state", "probability", "expected_reward")
+    if cut_input:
+        mdp = cut_lineage(mdp)
     starts = mdp.select("state").distinct()
     taken = as_stochastic(policy).select(*PAIR, F.col("probability").alias("pi"))
     moves = cut_lineage(mdp.join(taken, PAIR))

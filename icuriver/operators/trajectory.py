@@ -52,6 +52,32 @@ def transitions(
     )
 
 
+def decision_transitions(
+    rows: DataFrame,
+    *,
+    visit: str = VISIT,
+    order: Sequence[str] = (TIME,),
+    died: str = "died_in_hospital",
+    seq: str = "seq_id",
+    min_rows: int | None = None,
+) -> DataFrame:
+    """Numbering, terminal reward and transitions (D9, E10, E11) in one ordered scan.
+
+    Same result as the three steps in turn, with one shuffle and one sort.
+    """
+    scanned = ordered_scan(
+        rows, [visit], order, number=seq, lead={"next_state": F.col("state"), "_more": F.lit(1)}, min_rows=min_rows
+    )
+    done = F.col("_more").isNull()
+    end = F.when(F.col(died) == 0, 100).otherwise(-100)
+    return scanned.select(
+        visit, seq, "state", "action",
+        F.when(done, end).otherwise(0).alias("reward"),
+        F.when(done, F.lit(TERMINAL)).otherwise(F.col("next_state")).alias("next_state"),
+        done.cast("int").alias("done"),
+    )
+
+
 def longest_trajectory(steps: DataFrame, *, visit: str = VISIT) -> DataFrame:
     """Rows of the longest visit."""
     return steps.dropna(subset=[visit]).groupBy(visit).agg(F.count(F.lit(1)).alias("n")).agg(

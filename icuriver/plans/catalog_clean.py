@@ -9,6 +9,7 @@ from icuriver.plans.registry import query, round_sql, rounded
 from icuriver.plans.views import (
     CLINICAL, CLINICAL_FEATURES, FEATURES, WINDOWS, clinical, long_events, table, with_ctes,
 )
+from icuriver.session import cut_lineage
 from icuriver.plans.catalog_cohort import _COHORT_STEPS, _MEASURED, cohort_of, dictionary, measured
 
 V, TS = "visit_occurrence_id", "measurement_datetime"
@@ -181,7 +182,7 @@ def d11(spark, sf):
 @query("d12_power_transform")
 def d12(spark, sf):
     # the windows are read in every round of the search
-    rows = windows(spark, sf).cache()
+    rows = cut_lineage(windows(spark, sf))
     return transform.reduce_skew(rows, columns=FEATURES)
 
 
@@ -291,7 +292,7 @@ _FILLED = ", ".join(f"CASE WHEN rn - {f}_rn <= {_limit(f)} THEN {f}_v END AS {f}
               ff=f"SELECT {V}, {TS}, {_FILLED} FROM fc"),
 )
 def d18(spark, sf):
-    return rounded(impute.forward_fill(windows(spark, sf), FEATURES), *FEATURES)
+    return rounded(impute.forward_fill(cut_lineage(windows(spark, sf)), FEATURES), *FEATURES)
 
 
 @query(
@@ -477,7 +478,8 @@ def flagship(spark, sf):
     """Outlier cut, gap-filled windows, limited forward fill."""
     kept = clean.drop_outliers_long(long_events(spark, sf), FEATURES)
     rows = reshape.windowed_means(reshape.to_wide(kept, FEATURES), FEATURES)
-    return rounded(impute.forward_fill(rows, FEATURES), *FEATURES)
+    # the gap statistics and the fill both read the windows
+    return rounded(impute.forward_fill(cut_lineage(rows), FEATURES), *FEATURES)
 
 
 _CLINICAL_CELLS = ", ".join(f"avg(v) FILTER (WHERE feature_name = '{f}') AS {f}" for f in CLINICAL_FEATURES)

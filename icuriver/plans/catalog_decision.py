@@ -161,7 +161,7 @@ def rewarded_steps(spark, sf):
 
 
 def logged_transitions(spark, sf):
-    return trajectory.transitions(rewarded_steps(spark, sf))
+    return trajectory.decision_transitions(decision_steps(spark, sf), order=("ts", "event_id"))
 
 
 @query("e10_terminal_reward", with_ctes(("steps", "rewarded"), f"SELECT {V}, seq_id, state, action, died_in_hospital, reward FROM rewarded"))
@@ -171,6 +171,11 @@ def e10(spark, sf):
 
 @query("e11_transitions", with_ctes(DECISIONS, "SELECT * FROM transitions"))
 def e11(spark, sf):
+    return trajectory.transitions(rewarded_steps(spark, sf))
+
+
+@query("e11_transitions_one_scan", with_ctes(DECISIONS, "SELECT * FROM transitions"))
+def e11_one_scan(spark, sf):
     return logged_transitions(spark, sf)
 
 
@@ -433,11 +438,10 @@ def model(spark, sf):
     return mdp.empirical_mdp(logged_transitions(spark, sf))
 
 
-def learned(spark, sf):
-    """Model, Q-table and greedy policy."""
-    m = mdp.cut_lineage(model(spark, sf))
-    q = mdp.q_values(m, sweeps=_SWEEPS, rate=_RATE, discount=_DISCOUNT)
-    q = mdp.cut_lineage(q)
+def learned(spark, sf, steps=None):
+    """Model, Q-table and greedy policy, each materialised once."""
+    m = mdp.cut_lineage(model(spark, sf) if steps is None else mdp.empirical_mdp(steps))
+    q = mdp.cut_lineage(mdp.q_values(m, sweeps=_SWEEPS, rate=_RATE, discount=_DISCOUNT, cut_input=False))
     return m, q, mdp.greedy_policy(q, m)
 
 
@@ -531,7 +535,7 @@ _VALUE_OUT = f"""SELECT round(avg(coalesce(m1, 0)), 6) AS mean_return, round(sqr
 )
 def g8(spark, sf):
     m, _, greedy = learned(spark, sf)
-    return rounded(mdp.policy_value(greedy, m, steps=_HORIZON), "mean_return", "std_return")
+    return rounded(mdp.policy_value(greedy, m, steps=_HORIZON, cut_input=False), "mean_return", "std_return")
 
 
 @query("g8_policy_value_observed", with_ctes(DECISIONS, _VALUE_OUT, **_value_steps("SELECT state, action, probability AS pi FROM policy")))
@@ -581,9 +585,10 @@ _GAMMA = 0.95
 
 
 def evaluation(spark, sf):
-    steps = logged_transitions(spark, sf)
+    # the steps feed the behaviour policy, the model and the estimator
+    steps = mdp.cut_lineage(logged_transitions(spark, sf))
     logged = trajectory.behaviour_probability(steps, mdp.observed_policy(steps)).withColumn("t", F.col("seq_id") - 1)
-    _, q, greedy = learned(spark, sf)
+    _, q, greedy = learned(spark, sf, steps)
     return logged, mdp.epsilon_greedy(greedy, 0.3), q
 
 

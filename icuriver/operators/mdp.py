@@ -14,7 +14,7 @@ from icuriver.operators.trajectory import TERMINAL
 from icuriver.session import cut_lineage
 
 PAIR = ["state", "action"]
-SWEEPS_PER_CHECKPOINT = 5
+SWEEPS_PER_CHECKPOINT = 2
 
 
 def transition_probabilities(transitions: DataFrame) -> DataFrame:

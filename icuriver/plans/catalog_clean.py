@@ -393,7 +393,7 @@ _steps_visit, _body_visit = _knn_sql(
 
 @query("d23_knn_within_visit", with_ctes(WINDOWS, _body_visit, **_steps_visit))
 def d23(spark, sf):
-    return rounded(impute.knn_impute_by_visit(windows(spark, sf), FEATURES, KEY), *FEATURES, digits=9)
+    return rounded(impute.knn_impute_by_visit(cut_lineage(windows(spark, sf)), FEATURES, KEY), *FEATURES, digits=9)
 
 
 @query(

@@ -30,7 +30,7 @@ def frame(spark):
     from pyspark.sql import types as T
 
     def build(rows, schema):
-        wanted = T._parse_datatype_string(schema) if hasattr(T, "_parse_datatype_string") else spark.createDataFrame([], schema).schema
+        wanted = spark.createDataFrame([], schema).schema
         loose = T.StructType([
             T.StructField(f.name, T.StringType() if isinstance(f.dataType, T.TimestampNTZType) else f.dataType)
             for f in wanted.fields

@@ -72,6 +72,12 @@ EYES_POINTS = {45877537: 1, 45883351: 2, 45880465: 3, 45880466: 4}
 MOTOR_POINTS = {45878992: 1, 45878993: 2, 45879885: 3, 45882047: 4, 45880468: 5}
 VERBAL_POINTS = {36311192: 1, 45877384: 2, 45883352: 3, 45877601: 4, 45883906: 5, 45877602: 6}
 
+# Everything the scores and the cohort read from the measurements.
+COHORT_MEASUREMENTS = (
+    *OXYGEN, PAO2, SPECIMEN, *PLATELETS, *BILIRUBIN, *LACTATE, *MEAN_BLOOD_PRESSURE, *URINE, *CREATININE,
+    *BODY_WEIGHT, EYES, MOTOR, VERBAL, *CULTURES,
+)
+
 # Bands: (low operator, low, high operator, high, points).
 COAGULATION_BANDS = (
     (">=", 100, "<", 150, 1), (">=", 50, "<", 100, 2), (">=", 20, "<", 50, 3), (">=", None, "<", 20, 4),

@@ -2,8 +2,9 @@
 
 The built-in exact percentile keeps every distinct value of a group in one buffer.
 Here a mergeable sketch brackets each wanted rank. One partial-aggregated pass then
-keeps the values inside the brackets and only counts the rows between them, and the
-ranks are read off that compressed distribution.
+keeps the values inside the brackets and only counts the rows between them. A bracket
+is cut into slots; the slot counts (a few thousand rows per key) tell which slots hold
+the wanted ranks, and only the values of those slots are ordered.
 """
 
 from __future__ import annotations
@@ -13,7 +14,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-ACCURACY = 20_000
+ACCURACY = 100_000
+SLOTS = 1024
 
 
 def quantile_table(
@@ -50,41 +52,61 @@ def quantile_table(
     )
     lookup = sketch.agg(F.map_from_entries(F.collect_list(F.struct(F.col("_k"), brackets)))).scalar()
 
-    v, b = F.col("_v"), F.col("_b")
+    v, b, seg = F.col("_v"), F.col("_b"), F.col("_seg")
     passed = sum(((v > b[i]["hi"]).cast("int") for i in range(len(probs))), F.lit(0))
-    inside = F.lit(False)
-    for i in range(len(probs)):
-        inside = inside | ((F.col("_seg") == i) & (v >= b[i]["lo"]))
+    edge = F.get(b, seg)
+    inside = v >= edge["lo"]
+    share = F.coalesce(F.try_divide(v - edge["lo"], edge["hi"] - edge["lo"]), F.lit(0.0))
     counts = (
         data.withColumn("_m", lookup)
         .select("_k", "_v", F.element_at("_m", F.col("_k")).alias("_b"))
         .withColumn("_seg", passed)
-        .select("_k", "_seg", F.when(inside, v).alias("_x"))
-        .groupBy("_k", "_seg", "_x")
+        .select(
+            "_k", "_seg",
+            # slot -1 is the uncounted stretch below a bracket
+            F.when(inside, F.least(F.floor(share * SLOTS), F.lit(SLOTS - 1))).otherwise(-1).cast("int").alias("_slot"),
+            F.when(inside, v).alias("_x"),
+        )
+        .groupBy("_k", "_seg", "_slot", "_x")
         .agg(F.count(F.lit(1)).alias("_c"))
     )
-    # sorted distribution: per segment the uncounted stretch first, then the kept values
-    order = Window.partitionBy("_k").orderBy("_seg", F.col("_x").asc_nulls_first())
-    ranked = counts.withColumn("_cum", F.sum("_c").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    whole = Window.partitionBy("_k")
-    ranked = ranked.withColumn("n", F.sum("_c").over(whole))
-    spot = F.struct("_seg", F.col("_x").isNotNull().alias("kept"), F.col("_x").alias("x"))
-    found = []
-    for i, p in enumerate(probs):
-        h = F.lit(float(p)) * (F.col("n") - 1)
-        found.append(F.min(F.when(F.col("_cum") > F.floor(h), spot)).alias(f"a{i}"))
-        found.append(F.min(F.when(F.col("_cum") > F.least(F.floor(h) + 1, F.col("n") - 1), spot)).alias(f"b{i}"))
-    picked = ranked.groupBy("_k", "n").agg(*found)
-    rows = []
+    along = Window.partitionBy("_k").orderBy("_seg", "_slot").rowsBetween(Window.unboundedPreceding, 0)
+    slots = (
+        counts.groupBy("_k", "_seg", "_slot")
+        .agg(F.sum("_c").alias("_c"))
+        .withColumn("_cum", F.sum("_c").over(along))
+        .withColumn("n", F.sum("_c").over(Window.partitionBy("_k")))
+    )
+    ranks = []
     for i, p in enumerate(probs):
         h = F.lit(float(p)) * (F.col("n") - 1)
-        a, z = F.col(f"a{i}"), F.col(f"b{i}")
-        exact = a["x"] + (h - F.floor(h)) * (z["x"] - a["x"])
-        missed = F.raise_error(F.lit("quantile bracket missed its rank")).cast("double")
-        rows.append(F.struct(F.lit(float(p)).alias("prob"), F.when(a["kept"] & z["kept"], exact).otherwise(missed).alias("quantile")))
-    return picked.select(F.col("_k").alias("key"), "n", F.explode(F.array(*rows)).alias("r")).select(
-        "key", "r.prob", "n", "r.quantile"
+        for side, rank in ((0, F.floor(h)), (1, F.least(F.floor(h) + 1, F.col("n") - 1))):
+            ranks.append(F.struct(F.lit(i).alias("i"), F.lit(side).alias("side"), rank.cast("long").alias("rank"), h.alias("h")))
+    before = F.col("_cum") - F.col("_c")
+    # keys x probs x 2 rows, each pointing at the one slot that holds its rank
+    targets = (
+        slots.withColumn("_before", before)
+        .withColumn("r", F.explode(F.array(*ranks)))
+        .where((F.col("r.rank") >= F.col("_before")) & (F.col("r.rank") < F.col("_cum")))
+        .select("_k", "_seg", "_slot", "n", "_before", "r.i", "r.side", "r.rank", "r.h")
+    )
+    within = Window.partitionBy("_k", "i", "side").orderBy("_x").rowsBetween(Window.unboundedPreceding, 0)
+    exact = (
+        targets.join(counts, ["_k", "_seg", "_slot"])
+        .withColumn("_upto", F.col("_before") + F.sum("_c").over(within))
+        .where(F.col("_upto") > F.col("rank"))
+        .groupBy("_k", "n", "i", "h", "side")
+        .agg(F.min("_x").alias("x"))
+        .groupBy("_k", "n", "i", "h")
+        .agg(F.max(F.when(F.col("side") == 0, F.col("x"))).alias("a"), F.max(F.when(F.col("side") == 1, F.col("x"))).alias("b"))
     )
+    missed = F.raise_error(F.lit("quantile bracket missed its rank")).cast("double")
+    value_at = F.when(
+        F.col("a").isNotNull() & F.col("b").isNotNull(),
+        F.col("a") + (F.col("h") - F.floor("h")) * (F.col("b") - F.col("a")),
+    ).otherwise(missed)
+    prob = F.element_at(F.array(*[F.lit(float(p)) for p in probs]), F.col("i") + 1)
+    return exact.select(F.col("_k").alias("key"), prob.alias("prob"), "n", value_at.alias("quantile"))
 
 
 def quantile_lookup(

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from icuriver.operators.actions import N_ACTIONS
 from icuriver.operators.trajectory import TERMINAL
-from icuriver.session import cut_lineage
+from icuriver.session import broadcast_if_small, cut_lineage
 
 PAIR = ["state", "action"]
 SWEEPS_PER_CHECKPOINT = 2
@@ -130,7 +130,7 @@ def greedy_policy(q: DataFrame, states: DataFrame, n_actions: int = N_ACTIONS) -
 
 def attach_best_action(steps: DataFrame, greedy: DataFrame, out: str = "best_action") -> DataFrame:
     """Greedy action of each step's state."""
-    return steps.join(greedy.select("state", F.col("action").alias(out)), "state", "left")
+    return steps.join(broadcast_if_small(greedy.select("state", F.col("action").alias(out))), "state", "left")
 
 
 def action_frequencies(steps: DataFrame, columns: list[str], n_actions: int = N_ACTIONS) -> DataFrame:

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from icuriver.functions.ordered import ordered_scan
 from icuriver.operators.cohort import VISIT
 from icuriver.operators.mdp import PAIR
+from icuriver.session import broadcast_if_small
 
 
 def action_values(policy: DataFrame, q: DataFrame) -> DataFrame:
@@ -29,7 +30,7 @@ def action_values(policy: DataFrame, q: DataFrame) -> DataFrame:
 def direct_method(logged: DataFrame, policy: DataFrame, q: DataFrame) -> DataFrame:
     """Mean over trajectories of V at the first state."""
     first = logged.where(F.col("t") == 0).select("state")
-    return first.join(action_values(policy, q), "state", "left").agg(
+    return first.join(broadcast_if_small(action_values(policy, q)), "state", "left").agg(
         F.avg(F.coalesce("v", F.lit(0.0))).alias("estimate")
     )
 
@@ -37,7 +38,7 @@ def direct_method(logged: DataFrame, policy: DataFrame, q: DataFrame) -> DataFra
 def _weighted(logged: DataFrame, policy: DataFrame) -> DataFrame:
     """Steps with log ratio, zero flag and undefined flag."""
     target = policy.select(*PAIR, F.col("probability").alias("_pi"))
-    joined = logged.join(target, PAIR, "left").withColumn("_pi", F.coalesce("_pi", F.lit(0.0)))
+    joined = logged.join(broadcast_if_small(target), PAIR, "left").withColumn("_pi", F.coalesce("_pi", F.lit(0.0)))
     return joined.withColumns({
         "_undefined": (F.coalesce("pscore", F.lit(0.0)) <= 0).cast("int"),
         "_zero": (F.col("_pi") <= 0).cast("int"),
@@ -100,8 +101,8 @@ def doubly_robust(
     """Model value corrected by weighted residuals."""
     steps = (
         _running_ratios(logged, policy, visit, min_rows)
-        .join(action_values(policy, q), "state", "left")
-        .join(q.select(*PAIR, "q"), PAIR, "left")
+        .join(broadcast_if_small(action_values(policy, q)), "state", "left")
+        .join(broadcast_if_small(q.select(*PAIR, "q")), PAIR, "left")
     )
     zero = F.lit(0.0)
     residual = F.coalesce("reward", F.lit(0)) - F.coalesce("q", zero)

@@ -11,8 +11,10 @@ from icuriver.functions.ordered import ordered_scan
 from icuriver.operators.actions import N_ACTIONS
 from icuriver.operators.cohort import VISIT
 from icuriver.operators.reshape import TIME
+from icuriver.session import broadcast_if_small
 
 TERMINAL = -1
+PAD_RUN = 10_000
 
 
 def terminal_reward(
@@ -104,15 +106,18 @@ def pad_trajectories(
 ) -> DataFrame:
     """Every visit padded to the longest one.
 
-    Padding rows have action 0, state 0, done 1 and no reward or next state.
-    ``seq`` counts from ``start`` without holes.
+    Padding rows have action 0, state 0, done 1 and no reward or next state. ``seq``
+    counts from ``start`` without holes. The result has visits x longest rows by
+    definition; padding is made in runs, so no row ever carries one long array.
     """
     longest = longest_trajectory(steps, visit=visit).scalar()
     lengths = steps.groupBy(visit).agg(F.count(F.lit(1)).alias("_n"))
     padding = (
         lengths.withColumn("_max", longest)
         .where(F.col("_n") < F.col("_max"))
-        .select(visit, F.explode(F.sequence(F.col("_n") + start, F.col("_max") + start - 1)).alias(seq))
+        .withColumn("_first", F.explode(F.sequence(F.col("_n") + start, F.col("_max") + start - 1, F.lit(PAD_RUN))))
+        .withColumn("_last", F.least(F.col("_first") + PAD_RUN, F.col("_max") + start) - 1)
+        .select(visit, F.explode(F.sequence("_first", "_last")).alias(seq))
         .select(
             visit, F.col(seq).cast(steps.schema[seq].dataType).alias(seq),
             F.lit(0).cast(steps.schema["state"].dataType).alias("state"),
@@ -126,10 +131,10 @@ def pad_trajectories(
 def behaviour_probability(steps: DataFrame, policy: DataFrame) -> DataFrame:
     """Probability the observed policy gives the logged action, 0 if unknown.
 
-    The policy has at most states x actions rows; its size is left to the planner.
+    The policy has states x actions rows; if that is few, the steps are not shuffled.
     """
     chances = policy.select("state", "action", F.col("probability").alias("pscore"))
-    return steps.join(chances, ["state", "action"], "left").withColumn(
+    return steps.join(broadcast_if_small(chances), ["state", "action"], "left").withColumn(
         "pscore", F.coalesce("pscore", F.lit(0.0))
     )
 
@@ -142,7 +147,7 @@ def behaviour_distribution(steps: DataFrame, policy: DataFrame) -> DataFrame:
             for a in range(N_ACTIONS)
         ]
     )
-    out = steps.join(wide, "state", "left")
+    out = steps.join(broadcast_if_small(wide), "state", "left")
     return out.na.fill(0.0, subset=[f"p{a}" for a in range(N_ACTIONS)])
 
 

@@ -9,8 +9,8 @@ from icuriver.plans.registry import query, round_sql, rounded
 from icuriver.plans.views import (
     CLINICAL, CLINICAL_FEATURES, FEATURES, WINDOWS, clinical, long_events, table, with_ctes,
 )
+from icuriver.plans.catalog_cohort import _COHORT_STEPS, _MEASURED, cohort_of, dictionary, measured, narrowed
 from icuriver.session import cut_lineage
-from icuriver.plans.catalog_cohort import _COHORT_STEPS, _MEASURED, cohort_of, dictionary, measured
 
 V, TS = "visit_occurrence_id", "measurement_datetime"
 KEY = [V, TS]
@@ -501,7 +501,7 @@ def clinical_windows(spark, sf):
     from icuriver.sources.tables import restrict_to
 
     t = clinical(spark, sf)
-    shock = cohort_of(t).where("septic_shock")
+    shock = cut_lineage(cohort_of(narrowed(t)).where("septic_shock").select(V))
     rows = restrict_to(measured(spark, sf, t), shock, V)
     named = attach_feature(rows, dictionary(spark)).select(V, TS, "feature_name", "value_as_number")
     out = reshape.windowed_means(reshape.to_wide(named, CLINICAL_FEATURES), CLINICAL_FEATURES)

@@ -10,6 +10,7 @@ from icuriver.plans.registry import query, round_sql, rounded
 from icuriver.plans.views import (
     CLINICAL, CLINICAL_FEATURES, DICTIONARY_SQL, clinical, exposures, table, with_ctes,
 )
+from icuriver.session import cut_lineage
 from icuriver.sources import tables
 
 AS_OF = "2024-01-04 00:00:00"
@@ -678,6 +679,15 @@ def c10(spark, sf):
     )
 
 
+def narrowed(t):
+    """Clinical tables with the measurements cut once to the concepts the cohort reads.
+
+    Ten extracts follow; without this each of them would scan the whole table.
+    """
+    rows = t["measurement"].where(F.col("measurement_concept_id").isin(list(C.COHORT_MEASUREMENTS)))
+    return t | {"measurement": cut_lineage(rows)}
+
+
 def assembled(t):
     return scores.assemble_scores(
         t["visit_occurrence"],
@@ -716,7 +726,7 @@ _LITERAL = " + ".join(f"coalesce(CAST({c} AS DOUBLE), 0)" for c in [*scores.SCOR
     with_ctes(CLINICAL, _ASSEMBLED_OUT + " FROM asm", **_SCORE_STEPS, **_EVIDENCE, asm=_ASSEMBLED),
 )
 def c11(spark, sf):
-    return rounded(assembled(clinical(spark, sf)), "pf_ratio", "fio2", "pao2")
+    return rounded(assembled(narrowed(clinical(spark, sf))), "pf_ratio", "fio2", "pao2")
 
 
 @query(
@@ -725,7 +735,7 @@ def c11(spark, sf):
               **_SCORE_STEPS, **_EVIDENCE, asm=_ASSEMBLED, tot=_TOTALS),
 )
 def c12(spark, sf):
-    base = assembled(clinical(spark, sf))
+    base = assembled(narrowed(clinical(spark, sf)))
     both = scores.total_score(
         scores.total_score(base, literal=True).withColumnRenamed("sofa_total_score", "literal_total")
     )
@@ -748,7 +758,7 @@ _COHORT_COLUMNS = [V, "person_id", "sepsis_at_admission", "sepsis_antibiotics_bo
 
 @query("c13_shock_cohort", with_ctes(CLINICAL, "SELECT * FROM cohort WHERE septic_shock", **_COHORT_STEPS))
 def c13(spark, sf):
-    return cohort_of(clinical(spark, sf)).where("septic_shock").select(*_COHORT_COLUMNS)
+    return cohort_of(narrowed(clinical(spark, sf))).where("septic_shock").select(*_COHORT_COLUMNS)
 
 
 @query(
@@ -758,4 +768,4 @@ def c13(spark, sf):
     count(DISTINCT CASE WHEN septic_shock THEN visit_occurrence_id END) AS shock_visits FROM cohort""", **_COHORT_STEPS),
 )
 def c14(spark, sf):
-    return scores.cohort_counts(cohort_of(clinical(spark, sf)))
+    return scores.cohort_counts(cohort_of(narrowed(clinical(spark, sf))))

@@ -164,6 +164,12 @@ def logged_transitions(spark, sf):
     return trajectory.decision_transitions(decision_steps(spark, sf), order=("ts", "event_id"))
 
 
+def steps_and_policy(spark, sf):
+    """Logged steps and the policy seen in them, both materialised."""
+    steps = mdp.cut_lineage(logged_transitions(spark, sf))
+    return steps, mdp.cut_lineage(mdp.observed_policy(steps))
+
+
 @query("e10_terminal_reward", with_ctes(("steps", "rewarded"), f"SELECT {V}, seq_id, state, action, died_in_hospital, reward FROM rewarded"))
 def e10(spark, sf):
     return rewarded_steps(spark, sf).select(V, "seq_id", "state", "action", "died_in_hospital", "reward")
@@ -217,8 +223,8 @@ def e13(spark, sf):
     FROM padded LEFT JOIN policy USING (state, action)""", padded=_PADDED),
 )
 def e14(spark, sf):
-    steps = logged_transitions(spark, sf)
-    out = trajectory.behaviour_probability(trajectory.pad_trajectories(steps), mdp.observed_policy(steps))
+    steps, observed = steps_and_policy(spark, sf)
+    out = trajectory.behaviour_probability(trajectory.pad_trajectories(steps), observed)
     return rounded(out.select(V, "seq_id", "state", "action", "pscore"), "pscore")
 
 
@@ -229,8 +235,8 @@ def e14(spark, sf):
     ) + " FROM transitions t"),
 )
 def e14_distribution(spark, sf):
-    steps = logged_transitions(spark, sf)
-    out = trajectory.behaviour_distribution(steps, mdp.observed_policy(steps))
+    steps, observed = steps_and_policy(spark, sf)
+    out = trajectory.behaviour_distribution(steps, observed)
     return rounded(out.select(V, "seq_id", "state", *[f"p{a}" for a in range(9)]), *[f"p{a}" for a in range(9)])
 
 
@@ -240,8 +246,8 @@ def e14_distribution(spark, sf):
     FROM padded LEFT JOIN policy USING (state, action)""", padded=_PADDED),
 )
 def e15(spark, sf):
-    steps = logged_transitions(spark, sf)
-    rows, _ = trajectory.logged_dataset(trajectory.pad_trajectories(steps), mdp.observed_policy(steps))
+    steps, observed = steps_and_policy(spark, sf)
+    rows, _ = trajectory.logged_dataset(trajectory.pad_trajectories(steps), observed)
     return rounded(rows, "pscore")
 
 
@@ -252,8 +258,8 @@ def e15(spark, sf):
     FROM padded""", padded=_PADDED),
 )
 def e15_meta(spark, sf):
-    steps = logged_transitions(spark, sf)
-    return trajectory.logged_dataset(trajectory.pad_trajectories(steps), mdp.observed_policy(steps))[1]
+    steps, observed = steps_and_policy(spark, sf)
+    return trajectory.logged_dataset(trajectory.pad_trajectories(steps), observed)[1]
 
 
 # --- F: states --------------------------------------------------------------------------
@@ -587,9 +593,10 @@ _GAMMA = 0.95
 def evaluation(spark, sf):
     # the steps feed the behaviour policy, the model and the estimator
     steps = mdp.cut_lineage(logged_transitions(spark, sf))
-    logged = trajectory.behaviour_probability(steps, mdp.observed_policy(steps)).withColumn("t", F.col("seq_id") - 1)
+    observed = mdp.cut_lineage(mdp.observed_policy(steps))
+    logged = trajectory.behaviour_probability(steps, observed).withColumn("t", F.col("seq_id") - 1)
     _, q, greedy = learned(spark, sf, steps)
-    return logged, mdp.epsilon_greedy(greedy, 0.3), q
+    return logged, mdp.cut_lineage(mdp.epsilon_greedy(greedy, 0.3)), q
 
 
 @query(

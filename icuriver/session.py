@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Runtime SQL settings. Joins of many rows to one row per visit lean on the
 # adaptive skew split, so it is forced even where it costs one more exchange.
@@ -43,3 +44,15 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the checkpoint folder, which survives executor loss."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+# Model tables (states x actions) of this size are shipped to the executors.
+BROADCAST_ROWS = 1_000_000
+
+
+def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Broadcast a side whose row count is checked; a larger one is joined by shuffle.
+
+    The check reads the frame, so pass one that is materialised or cheap to make.
+    """
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df

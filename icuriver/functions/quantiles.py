@@ -28,7 +28,7 @@ def quantile_table(
     while there are fewer than ``4 * accuracy``. A rank outside its bracket would be an
     error, never a wrong value.
     """
-    probs = sorted(set(probs))
+    probs = sorted({float(p) for p in probs})
     margin = 2.0 / accuracy
     data = df.select(key.alias("_k"), value.cast("double").alias("_v")).where(
         F.col("_v").isNotNull() & ~F.isnan("_v") & F.col("_k").isNotNull()
@@ -40,32 +40,27 @@ def quantile_table(
         F.max("_v").alias("hi"),
         F.percentile_approx("_v", asked, accuracy).alias("q"),
     )
-    small = F.col("n") < 4 * accuracy
-    brackets = F.array(
-        *[
-            F.struct(
-                F.when(small | F.lit(p <= margin), F.col("lo")).otherwise(F.col("q")[i]).alias("lo"),
-                F.when(small | F.lit(p >= 1 - margin), F.col("hi")).otherwise(F.col("q")[len(probs) + i]).alias("hi"),
-            )
-            for i, p in enumerate(probs)
-        ]
-    )
+    # text expressions: one call each instead of one per operator and probability
+    pairs = []
+    for i, p in enumerate(probs):
+        low = f"CASE WHEN n < {4 * accuracy} OR {p <= margin} THEN lo ELSE q[{i}] END"
+        high = f"CASE WHEN n < {4 * accuracy} OR {p >= 1 - margin} THEN hi ELSE q[{len(probs) + i}] END"
+        pairs.append(f"named_struct('lo', {low}, 'hi', {high})")
+    brackets = F.expr(f"array({', '.join(pairs)})")
     lookup = sketch.agg(F.map_from_entries(F.collect_list(F.struct(F.col("_k"), brackets)))).scalar()
 
-    v, b, seg = F.col("_v"), F.col("_b"), F.col("_seg")
-    passed = sum(((v > b[i]["hi"]).cast("int") for i in range(len(probs))), F.lit(0))
-    edge = F.get(b, seg)
-    inside = v >= edge["lo"]
-    share = F.coalesce(F.try_divide(v - edge["lo"], edge["hi"] - edge["lo"]), F.lit(0.0))
+    passed = " + ".join(f"CAST(_v > _b[{i}].hi AS INT)" for i in range(len(probs)))
+    share = "coalesce(try_divide(_v - _e.lo, _e.hi - _e.lo), 0D)"
     counts = (
         data.withColumn("_m", lookup)
-        .select("_k", "_v", F.element_at("_m", F.col("_k")).alias("_b"))
-        .withColumn("_seg", passed)
-        .select(
+        .selectExpr("_k", "_v", "element_at(_m, _k) AS _b")
+        .selectExpr("_k", "_v", f"{passed} AS _seg", "_b")
+        .selectExpr("_k", "_v", "_seg", "get(_b, _seg) AS _e")
+        .selectExpr(
             "_k", "_seg",
             # slot -1 is the uncounted stretch below a bracket
-            F.when(inside, F.least(F.floor(share * SLOTS), F.lit(SLOTS - 1))).otherwise(-1).cast("int").alias("_slot"),
-            F.when(inside, v).alias("_x"),
+            f"CAST(CASE WHEN _v >= _e.lo THEN least(floor({share} * {SLOTS}), {SLOTS - 1}) ELSE -1 END AS INT) AS _slot",
+            "CASE WHEN _v >= _e.lo THEN _v END AS _x",
         )
         .groupBy("_k", "_seg", "_slot", "_x")
         .agg(F.count(F.lit(1)).alias("_c"))
@@ -79,34 +74,33 @@ def quantile_table(
     )
     ranks = []
     for i, p in enumerate(probs):
-        h = F.lit(float(p)) * (F.col("n") - 1)
-        for side, rank in ((0, F.floor(h)), (1, F.least(F.floor(h) + 1, F.col("n") - 1))):
-            ranks.append(F.struct(F.lit(i).alias("i"), F.lit(side).alias("side"), rank.cast("long").alias("rank"), h.alias("h")))
-    before = F.col("_cum") - F.col("_c")
+        h = f"({p!r}D * (n - 1))"
+        for side, rank in ((0, f"floor({h})"), (1, f"least(floor({h}) + 1, n - 1)")):
+            ranks.append(f"named_struct('i', {i}, 'side', {side}, 'rank', CAST({rank} AS BIGINT), 'h', {h})")
     # keys x probs x 2 rows, each pointing at the one slot that holds its rank
     targets = (
-        slots.withColumn("_before", before)
-        .withColumn("r", F.explode(F.array(*ranks)))
-        .where((F.col("r.rank") >= F.col("_before")) & (F.col("r.rank") < F.col("_cum")))
-        .select("_k", "_seg", "_slot", "n", "_before", "r.i", "r.side", "r.rank", "r.h")
+        slots.selectExpr("_k", "_seg", "_slot", "n", "_cum", "_cum - _c AS _before", f"explode(array({', '.join(ranks)})) AS r")
+        .where("r.rank >= _before AND r.rank < _cum")
+        .selectExpr("_k", "_seg", "_slot", "n", "_before", "r.i", "r.side", "r.rank", "r.h")
     )
     within = Window.partitionBy("_k", "i", "side").orderBy("_x").rowsBetween(Window.unboundedPreceding, 0)
     exact = (
         targets.join(counts, ["_k", "_seg", "_slot"])
         .withColumn("_upto", F.col("_before") + F.sum("_c").over(within))
-        .where(F.col("_upto") > F.col("rank"))
+        .where("_upto > rank")
         .groupBy("_k", "n", "i", "h", "side")
         .agg(F.min("_x").alias("x"))
         .groupBy("_k", "n", "i", "h")
-        .agg(F.max(F.when(F.col("side") == 0, F.col("x"))).alias("a"), F.max(F.when(F.col("side") == 1, F.col("x"))).alias("b"))
+        .agg(F.expr("max(CASE WHEN side = 0 THEN x END)").alias("a"), F.expr("max(CASE WHEN side = 1 THEN x END)").alias("b"))
+    )
+    listed = ", ".join(f"{p!r}D" for p in probs)
+    return exact.selectExpr(
+        "_k AS key",
+        f"element_at(array({listed}), i + 1) AS prob",
+        "n",
+        "CASE WHEN a IS NOT NULL AND b IS NOT NULL THEN a + (h - floor(h)) * (b - a) "
+        "ELSE CAST(raise_error('quantile bracket missed its rank') AS DOUBLE) END AS quantile",
     )
-    missed = F.raise_error(F.lit("quantile bracket missed its rank")).cast("double")
-    value_at = F.when(
-        F.col("a").isNotNull() & F.col("b").isNotNull(),
-        F.col("a") + (F.col("h") - F.floor("h")) * (F.col("b") - F.col("a")),
-    ).otherwise(missed)
-    prob = F.element_at(F.array(*[F.lit(float(p)) for p in probs]), F.col("i") + 1)
-    return exact.select(F.col("_k").alias("key"), prob.alias("prob"), "n", value_at.alias("quantile"))
 
 
 def quantile_lookup(
@@ -116,7 +110,7 @@ def quantile_lookup(
     table = quantile_table(df, key, value, probs, accuracy)
     by_prob = F.map_from_entries(F.collect_list(F.struct("prob", "quantile")))
     per_key = table.groupBy("key").agg(by_prob.alias("q"))
-    wanted = F.array(*[F.element_at("q", F.lit(float(p))) for p in probs])
+    wanted = F.expr(f"array({', '.join(f'element_at(q, {float(p)!r}D)' for p in probs)})")
     return per_key.agg(F.map_from_entries(F.collect_list(F.struct(F.col("key"), wanted)))).scalar()
 
 

@@ -34,7 +34,7 @@ def latest_diagnosis(
     """
     dated = (
         conditions.where(F.col("condition_concept_id") == concept_id)
-        .groupBy(VISIT)
+        .groupBy(VISIT, F.col("condition_concept_id").alias("concept_id"))
         .agg(F.max("condition_start_date").alias("condition_start_date"))
     )
     # at most one concept row matches
@@ -42,8 +42,7 @@ def latest_diagnosis(
         "concept_id", "concept_name", "concept_code"
     )
     return (
-        dated.withColumn("concept_id", F.lit(concept_id).cast("bigint"))
-        .join(F.broadcast(named), "concept_id")
+        dated.join(F.broadcast(named), "concept_id")
         .join(visits.select(VISIT, PERSON), VISIT)
         .join(person.select(PERSON, "year_of_birth", "gender_source_value"), PERSON)
         .select(

@@ -139,28 +139,18 @@ def fio2_estimate(
     )
 
 
-def infusion_doses(
-    drugs: DataFrame,
-    visits: DataFrame,
-    concepts: DataFrame,
-    measurements: DataFrame,
-    *,
-    first_day: bool = True,
-    weight_agg: str | None = None,
-    absolute: bool = False,
-) -> DataFrame:
-    """Vasoactive infusions with dose and rate parsed from text.
-
-    Every body weight of the visit multiplies the infusion rows, as in the source;
-    ``weight_agg`` (min, max, avg) gives one row per infusion instead. ``absolute``
-    returns person and start/stop times in place of minutes since admission.
-    """
-    wanted = list(C.VASOACTIVE)
-    weight = measurements.where(
+def body_weights(measurements: DataFrame) -> DataFrame:
+    """Device rows of the body weight concepts."""
+    return measurements.where(
         validated(mode="device") & F.col("measurement_concept_id").isin(list(C.BODY_WEIGHT))
     ).select(VISIT, F.col("value_as_number").alias("patientweight"))
-    if weight_agg is not None:
-        weight = weight.groupBy(VISIT).agg(F.expr(f"{weight_agg}(patientweight)").alias("patientweight"))
+
+
+def infusion_rows(
+    drugs: DataFrame, visits: DataFrame, concepts: DataFrame, *, first_day: bool = True, timed: bool = True
+) -> DataFrame:
+    """Vasoactive infusions with dose and rate parsed from text, without body weight."""
+    wanted = list(C.VASOACTIVE)
     named = concepts.where(F.col("concept_id").isin(wanted)).select(
         F.col("concept_id").alias("itemid"), F.col("concept_name").alias("item")
     )
@@ -176,23 +166,83 @@ def infusion_doses(
         .where(F.col("rate") > 0.1)
         .join(F.broadcast(named), "itemid")
     )
-    if first_day or not absolute:
+    if first_day or timed:
         doses = _with_start(doses, visits).withColumns({
             "start_time": since_admission("MINUTE", "drug_exposure_start_datetime"),
             "stop_time": since_admission("MINUTE", "drug_exposure_end_datetime"),
         })
     if first_day:
         doses = doses.where((F.col("start_time") <= 1440) & (F.col("stop_time") >= 0))
+    return doses
+
+
+def _gamma(rate: Column, weight: Column) -> Column:
+    """mg per hour to micrograms per kg and minute."""
+    return F.try_divide(F.try_divide(rate * 1000, weight), F.lit(60))
+
+
+def infusion_doses(
+    drugs: DataFrame,
+    visits: DataFrame,
+    concepts: DataFrame,
+    measurements: DataFrame,
+    *,
+    first_day: bool = True,
+    weight_agg: str | None = None,
+    absolute: bool = False,
+) -> DataFrame:
+    """Vasoactive infusions with dose per body weight.
+
+    Every body weight of the visit multiplies the infusion rows, as in the source;
+    ``weight_agg`` (min, max, avg) gives one row per infusion instead. ``absolute``
+    returns person and start/stop times in place of minutes since admission.
+    """
+    weight = body_weights(measurements)
+    if weight_agg is not None:
+        weight = weight.groupBy(VISIT).agg(F.expr(f"{weight_agg}(patientweight)").alias("patientweight"))
+    doses = infusion_rows(drugs, visits, concepts, first_day=first_day, timed=not absolute)
     head = [PERSON, VISIT] if absolute else [VISIT]
     times = (
-        [start.alias("start_datetime"), stop.alias("stop_datetime")]
+        [
+            F.col("drug_exposure_start_datetime").alias("start_datetime"),
+            F.col("drug_exposure_end_datetime").alias("stop_datetime"),
+        ]
         if absolute
         else [F.col("start_time"), F.col("stop_time")]
     )
     return doses.join(weight, VISIT, "left").select(
         *head, "itemid", "item", "duration", "dose", "rate", F.lit("mg/uur").alias("rateunit"), *times,
-        "patientweight",
-        F.try_divide(F.try_divide(F.col("rate") * 1000, F.col("patientweight")), F.lit(60)).alias("gamma"),
+        "patientweight", _gamma(F.col("rate"), F.col("patientweight")).alias("gamma"),
+    )
+
+
+def infusion_peaks(
+    drugs: DataFrame, visits: DataFrame, concepts: DataFrame, measurements: DataFrame
+) -> DataFrame:
+    """Total duration and top dose per visit and drug of the first-day infusions (B15 into C4).
+
+    Equals aggregating :func:`infusion_doses` without pairing infusions and weights:
+    the total is the summed duration times the number of weights, and the top dose
+    pairs the highest rate with the lowest positive weight.
+    """
+    per_drug = (
+        infusion_rows(drugs, visits, concepts)
+        .groupBy(VISIT, "itemid", "item")
+        .agg(F.sum("duration").alias("_minutes"), F.max("rate").alias("_top"), F.min("rate").alias("_low"))
+    )
+    w = F.col("patientweight")
+    weights = body_weights(measurements).groupBy(VISIT).agg(
+        F.count(F.lit(1)).alias("_weights"), F.min(F.when(w > 0, w)).alias("_light"), F.min(w).alias("_least")
+    )
+    top = F.coalesce(
+        _gamma(F.col("_top"), F.col("_light")),
+        # only negative weights: the quotient closest to zero
+        _gamma(F.col("_low"), F.col("_least")),
+    )
+    return per_drug.join(weights, VISIT, "left").select(
+        VISIT, "itemid", "item",
+        (F.col("_minutes") * F.coalesce("_weights", F.lit(1))).alias("total_duration"),
+        top.alias("max_gamma"),
     )
 
 

@@ -53,10 +53,16 @@ def liver(rows: DataFrame) -> DataFrame:
 
 
 def cardiovascular_drugs(doses: DataFrame) -> DataFrame:
-    """Per visit and drug: total duration, top dose, score (C4).
+    """Per visit and drug: total duration, top dose, score (C4)."""
+    return score_drug_peaks(
+        doses.dropna(subset=[VISIT, "itemid", "item"])
+        .groupBy(VISIT, "itemid", "item")
+        .agg(F.sum("duration").alias("total_duration"), F.max("gamma").alias("max_gamma"))
+    )
 
-    Dopamine at exactly 15 scores 0, as in the source.
-    """
+
+def score_drug_peaks(peaks: DataFrame) -> DataFrame:
+    """Score of the top dose per visit and drug. Dopamine at exactly 15 scores 0, as in the source."""
     item, top = F.col("itemid"), F.col("max_gamma")
     strong = item.isin([C.EPINEPHRINE, C.NOREPINEPHRINE])
     dopamine = item == C.DOPAMINE
@@ -66,12 +72,7 @@ def cardiovascular_drugs(doses: DataFrame) -> DataFrame:
         .when((dopamine & (top <= 5)) | (item == C.DOBUTAMINE), 2)
         .otherwise(0)
     )
-    return (
-        doses.dropna(subset=[VISIT, "itemid", "item"])
-        .groupBy(VISIT, "itemid", "item")
-        .agg(F.sum("duration").alias("total_duration"), F.max("gamma").alias("max_gamma"))
-        .withColumn("sofa_cardiovascular_score", score)
-    )
+    return peaks.dropna(subset=[VISIT, "itemid", "item"]).withColumn("sofa_cardiovascular_score", score)
 
 
 def cardiovascular_pressure(rows: DataFrame) -> DataFrame:

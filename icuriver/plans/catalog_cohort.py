@@ -620,6 +620,20 @@ def c4(spark, sf):
     return rounded(scores.cardiovascular_drugs(doses(clinical(spark, sf))), "max_gamma")
 
 
+def drug_scores(t):
+    return scores.score_drug_peaks(
+        extract.infusion_peaks(t["drug_exposure"], t["visit_occurrence"], t["concept"], t["measurement"])
+    )
+
+
+@query(
+    "c4_cardiovascular_drug_score_without_pairs",
+    _scored(f"SELECT visit_occurrence_id, itemid, item, total_duration, {round_sql('max_gamma')}, sofa_cardiovascular_score FROM s_drugs"),
+)
+def c4_peaks(spark, sf):
+    return rounded(drug_scores(clinical(spark, sf)), "max_gamma")
+
+
 def pressure_scores(t):
     return scores.cardiovascular_pressure(extract.blood_pressure(t["measurement"], t["visit_occurrence"]))
 
@@ -674,9 +688,7 @@ def c9(spark, sf):
 )
 def c10(spark, sf):
     t = clinical(spark, sf)
-    return scores.strongest_evidence(
-        pressure_scores(t), scores.cardiovascular_drugs(doses(t)), "sofa_cardiovascular_score"
-    )
+    return scores.strongest_evidence(pressure_scores(t), drug_scores(t), "sofa_cardiovascular_score")
 
 
 def narrowed(t):
@@ -696,7 +708,7 @@ def assembled(t):
             (scores.coagulation(extract.platelets(t["measurement"], t["visit_occurrence"])), ["sofa_coagulation_score"]),
             (scores.liver(extract.bilirubin(t["measurement"], t["visit_occurrence"])), ["sofa_liver_score"]),
             (
-                scores.strongest_evidence(pressure_scores(t), scores.cardiovascular_drugs(doses(t)), "sofa_cardiovascular_score"),
+                scores.strongest_evidence(pressure_scores(t), drug_scores(t), "sofa_cardiovascular_score"),
                 ["sofa_cardiovascular_score"],
             ),
             (cns_scores(t), ["sofa_cns_score"]),

@@ -130,6 +130,12 @@ def test_infusion_doses(spark, frame, visits):
     assert got == [(1, 90, 5.0, 2.5, 60, 50.0), (1, 90, 5.0, 2.5, 60, 100.0), (3, 60, 7.0, 6.0, 60, 0)]
     assert out.where("patientweight = 50").first()["gamma"] == pytest.approx(2500 / 50 / 60)
     assert extract.infusion_doses(drugs, visits, concept, m, weight_agg="min").count() == 2
+    # peaks equal the aggregate over all (infusion, weight) pairs, negative and zero weights included
+    for extra in ([], [(1, 3025315, "2024-01-01 00:00:00", -5.0, None)], [(3, 3025315, "2024-01-01 00:00:00", -5.0, None), (3, 3025315, "2024-01-01 00:00:00", 0.0, None)]):
+        more = m.unionByName(measure(frame, extra)) if extra else m
+        pairs = extract.infusion_doses(drugs, visits, concept, more).groupBy(V, "itemid", "item").agg(
+            F.sum("duration").alias("total_duration"), F.max("gamma").alias("max_gamma"))
+        assert sorted(map(str, extract.infusion_peaks(drugs, visits, concept, more).collect())) == sorted(map(str, pairs.collect()))
     absolute = extract.infusion_doses(drugs, visits, concept, m, first_day=False, absolute=True)
     assert absolute.count() == 5 and "start_datetime" in absolute.columns
 

@@ -7,7 +7,7 @@ import duckdb
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
-from check import difference
+from check import difference, pair_joins
 
 SF = "/root/testdata/sf0.001"
 
@@ -22,7 +22,9 @@ def con():
 
 @pytest.mark.parametrize("name", list(queries()))
 def test_query(spark, con, name):
-    got = queries()[name](spark, SF).toPandas()
+    df = queries()[name](spark, SF)
+    assert not pair_joins(df)
+    got = df.toPandas()
     sql = oracle_sql().get(name)
     if sql is None:
         assert len(got) > 0

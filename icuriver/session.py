@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import io
+import os
 import tempfile
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,9 +25,28 @@ def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings; cluster sizing is left to the session."""
     for key, value in SQL_SETTINGS.items():
         spark.conf.set(key, value)
+    ship_package(spark)
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once for each context, so that it need not be installed there."""
+    sc = spark.sparkContext
+    if getattr(sc, "_icuriver_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, names in sorted(os.walk(root)):
+            for name in sorted(n for n in names if n.endswith(".py")):
+                z.write(os.path.join(folder, name), os.path.relpath(os.path.join(folder, name), os.path.dirname(root)))
+    path = os.path.join(tempfile.mkdtemp(prefix="icuriver-package-"), "icuriver.zip")
+    with open(path, "wb") as f:
+        f.write(packed.getvalue())
+    sc.addPyFile(path)
+    sc._icuriver_shipped = True
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Use the shared folder the cluster names; make one only in local mode."""
     sc = spark.sparkContext

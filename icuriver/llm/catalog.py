@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from icuriver.llm import bpe, packing, sharding
+from icuriver.llm import bpe, packing, quality, sharding
 from icuriver.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,6 +33,15 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumns({"law": F.lit("bytes"), "grown_shard": F.lit(None).cast("int")})
 
 
+@query("op1_quality")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every whole text, from a model that never saw the held-out fifth."""
+    docs = table(spark, sf_dir, "documents")
+    weights = quality.fit_quality(docs, table(spark, sf_dir, "labels"))
+    scored = docs.select("doc_id", quality.held_out().alias("held_out"), quality.quality_score(docs, weights).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
 @query("op3_byte_bpe")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of all whole texts and what they decode to, as digests."""

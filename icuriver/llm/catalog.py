@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from icuriver.llm import bpe, packing, quality, sharding
+from icuriver.llm import bpe, licenses, packing, quality, sharding
 from icuriver.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -48,6 +48,22 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_texts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), ids=False)
 
 
+@query("op4_licenses")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Places of license phrases in all whole texts, with the labels that templates add."""
+    found = licenses.scan_licenses(table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: ~s["template"])
+
+    def joined(spans: Column) -> Column:
+        return F.array_join(F.array_sort(F.array_distinct(F.transform(spans, lambda s: s["label"]))), ",")
+
+    starts = F.transform(base, lambda s: s["first"])
+    return found.select(
+        "doc_id", "n_words", F.size(base).cast("long").alias("n_base"), F.array_min(starts).alias("first_word"),
+        F.array_max(starts).alias("last_word"), joined(base).alias("base_labels"), joined(F.col("spans")).alias("labels"), "score",
+    )
+
+
 @query("op8_packing")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of at most 2048 tokens."""

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from icuriver.llm import bpe, licenses, packing, quality, sharding
+from icuriver.llm import bpe, edit_fingerprint, licenses, packing, quality, sharding
 from icuriver.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -64,6 +64,16 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op5_fingerprints")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all whole texts and their likeness to the edited and the next text."""
+    found = edit_fingerprint.compare_with_next(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "n_chars", "edited_sha256", F.lower(F.hex("cells")).alias("fingerprint"),
+        F.lower(F.hex("edited_cells")).alias("edited_fingerprint"), "near_edited", "near_next",
+    )
+
+
 @query("op8_packing")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of at most 2048 tokens."""

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from icuriver.llm import bpe, edit_fingerprint, licenses, packing, quality, sharding
+from icuriver.llm import bpe, dart_minhash, edit_fingerprint, licenses, packing, quality, sharding
 from icuriver.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -78,3 +78,9 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of at most 2048 tokens."""
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), ids=False)
+
+
+@query("op10_minhash")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate class of every document."""
+    return dart_minhash.near_duplicates(table(spark, sf_dir, "documents"))

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from icuriver.llm import bpe, dart_minhash, edit_fingerprint, licenses, packing, quality, sharding
+from icuriver.llm import bpe, dart_minhash, edit_fingerprint, licenses, packing, quality, sharding, suffix_dedup
 from icuriver.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -42,6 +42,13 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
 
 
+@query("op2_suffix_dedup")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of all whole texts that repeat 50 bytes of an earlier document, removed."""
+    found = suffix_dedup.without_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "cut.n_bytes", "cut.n_removed", "cut.n_spans", F.sha2("cut.kept", 256).alias("kept_sha256"))
+
+
 @query("op3_byte_bpe")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of all whole texts and what they decode to, as digests."""

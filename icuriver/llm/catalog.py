@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from icuriver.llm import bpe, dart_minhash, edit_fingerprint, licenses, packing, quality, sharding, suffix_dedup
+from icuriver.llm import bpe, dart_minhash, edit_fingerprint, licenses, packing, pq_dedup, quality, sharding, suffix_dedup
 from icuriver.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -81,6 +81,12 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op7_embedding_dedup")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all vectors at a cosine of 0.95."""
+    return pq_dedup.near_vectors(table(spark, sf_dir, "embeddings"), 0.95)
+
+
 @query("op8_packing")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of at most 2048 tokens."""

@@ -5,6 +5,7 @@ from __future__ import annotations
 import io
 import os
 import tempfile
+import uuid
 import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -62,6 +63,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     sc.setCheckpointDir(shared)
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """A folder of this run below the checkpoint folder, for tables that stages hand on."""
+    ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/tables-{uuid.uuid4().hex}"
+
+
+def remove_table(spark: SparkSession, path: str) -> None:
+    """Delete a table below the shared folder once nothing reads it any more."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the checkpoint folder, which survives executor loss."""
     ensure_checkpoint_dir(df.sparkSession)

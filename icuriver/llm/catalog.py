@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from icuriver.llm import bpe, dart_minhash, edit_fingerprint, licenses, packing, pq_dedup, quality, sharding, suffix_dedup
+from icuriver.llm import bpe, dart_minhash, edit_fingerprint, licenses, line_templates, packing, pq_dedup, quality, sharding, suffix_dedup
 from icuriver.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -81,6 +81,13 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op6_line_dedup")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of all whole texts without those whose template recurs across documents."""
+    found = line_templates.without_recurring_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "lines.n_lines", "lines.n_dropped", F.sha2("lines.kept", 256).alias("kept_sha256"))
+
+
 @query("op7_embedding_dedup")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links and components of all vectors at a cosine of 0.95."""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -123,6 +124,10 @@ def _parts(batch: pa.RecordBatch, column: int) -> Iterator[tuple[int, int, np.nd
         yield a, b, *shingle_cells(data[borders[a] : borders[b]], borders[a : b + 1] - borders[a])
 
 
+def _text_digest(text: str | None) -> int:
+    return int.from_bytes(hashlib.blake2b((text or "").encode(), digest_size=8).digest(), "little") >> 1
+
+
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         digests, keys, sketches = [], [], []
@@ -132,9 +137,9 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             key = np.zeros((b - a, BANDS), np.uint64)
             for r in range(ROWS):
                 key = mix(key * np.uint64(0x9E3779B97F4A7C15) + marks[:, r::ROWS] + np.arange(BANDS, dtype=np.uint64))
-            digest = _set_digests(cell, cut)
-            digests += [int(d) if s else None for d, s in zip(digest, some, strict=True)]
-            keys += list(key.astype(np.int64))
+            digest, texts = _set_digests(cell, cut), batch.column(1)
+            digests += [int(d) if s else _text_digest(texts[k].as_py()) for k, d, s in zip(range(a, b), digest, some, strict=True)]
+            keys += [k if s else [] for k, s in zip(key.astype(np.int64), some, strict=True)]
             sketches += [r.tobytes() for r in (marks & np.uint64(255)).astype(np.uint8)]
         columns = [batch.column(0), pa.array(digests, pa.int64()), pa.array(keys, pa.list_(pa.int64())), pa.array(sketches, pa.binary())]
         yield pa.RecordBatch.from_arrays(columns, ["id", "vertex", "keys", "sketch"])
@@ -169,15 +174,16 @@ def near_duplicates(docs: DataFrame, least: float = SIMILARITY, id_column: str =
 
     The similarity is the weighted one of five-word shingles: common occurrences over all. class_id is
     the smallest id of the class, the document that is kept. Texts with the same shingles are one
-    vertex, so copies cost nothing more. Null, empty and wordless texts are classes of their own. Rows
-    that repeat an id count as documents of that id. Rows without id belong to no class, and are kept.
+    vertex, so copies cost nothing more. A text without words is only in a class with equal texts; null
+    counts as empty. Rows that repeat an id count as documents of that id. Rows without id belong to no
+    class, and are kept. Ids are whole numbers.
     Candidates come from BANDS keys of ROWS marks; every candidate pair that could join two classes is
     verified on the whole sets.
     """
     prepare(docs.sparkSession)
     texts = docs.select(F.col(id_column).alias("id"), F.col(text_column).cast("string").alias("text"))
     rows = cut_lineage(texts.mapInArrow(_sketch, "id long, vertex long, keys array<long>, sketch binary"))
-    known = rows.where("id is not null and vertex is not null")
+    known = rows.where("id is not null")
     items = known.groupBy("vertex").agg(F.min("id").alias("id"), F.min_by(F.struct("keys", "sketch"), "id").alias("s"))
     items = cut_lineage(items.select("vertex", "id", "s.keys", "s.sketch"))
 
@@ -194,7 +200,7 @@ def near_duplicates(docs: DataFrame, least: float = SIMILARITY, id_column: str =
     placed = placed.select("id", F.coalesce("component", "vertex").alias("component"))
     classes = placed.groupBy("component").agg(F.min("id").alias("class_id"), F.count("*").alias("class_size"))
     placed = placed.join(classes, "component").select("id", "class_id", "class_size")
-    alone = rows.where("id is null or vertex is null").select("id", F.col("id").alias("class_id"), F.lit(1).cast("long").alias("class_size"))
+    alone = rows.where("id is null").select("id", F.col("id").alias("class_id"), F.lit(1).cast("long").alias("class_size"))
     out = placed.union(alone)
     return out.select(F.col("id").alias(id_column), "class_id", "class_size", F.coalesce(F.col("id") == F.col("class_id"), F.lit(True)).alias("kept"))
 

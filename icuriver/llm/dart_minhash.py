@@ -7,11 +7,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from icuriver.llm.common import SLICE_BYTES, SpanHash, components, mix, prepare, slices, text_bytes
-from icuriver.llm.near import near_links
+from icuriver.llm.near import bucket_members, near_links
 from icuriver.session import cut_lineage
 
 #: Words of a shingle and the least similarity of near-duplicates.
@@ -154,6 +154,14 @@ def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(cells, pa.binary())], ["vertex", "cells"])
 
 
+def _short(cells: Column) -> Column:
+    @F.arrow_udf("binary")
+    def short(cells: pa.Array) -> pa.Array:
+        return pa.array([(np.frombuffer(c, np.uint64) >> np.uint64(32)).astype(np.uint32).tobytes() for c in cells.to_pylist()], pa.binary())
+
+    return short(cells)
+
+
 def similarity(a: np.ndarray, b: np.ndarray) -> float:
     common = len(np.intersect1d(a, b, assume_unique=True))
     return common / max(1, len(a) + len(b) - common)
@@ -187,15 +195,19 @@ def near_duplicates(docs: DataFrame, least: float = SIMILARITY, id_column: str =
     items = known.groupBy("vertex").agg(F.min("id").alias("id"), F.min_by(F.struct("keys", "sketch"), "id").alias("s"))
     items = cut_lineage(items.select("vertex", "id", "s.keys", "s.sketch"))
 
+    members = bucket_members(items)
+    wanted = items.join(members.select("vertex").distinct(), "vertex").select("vertex", "id")
+    cells = texts.join(wanted.select("id").distinct(), "id").select("text").mapInArrow(_cells, "vertex long, cells binary")
+    cells = cut_lineage(cells.join(wanted.select("vertex"), "vertex").groupBy("vertex").agg(F.first("cells").alias("cells")))
+
     def verify(pairs: DataFrame) -> DataFrame:
-        wanted = pairs.select(F.explode(F.array("a", "b")).alias("vertex")).distinct().join(items.select("vertex", "id"), "vertex")
-        cells = texts.join(wanted.select("id").distinct(), "id").select("text").mapInArrow(_cells, "vertex long, cells binary")
-        cells = cells.join(wanted.select("vertex"), "vertex").groupBy("vertex").agg(F.first("cells").alias("cells"))
         both = pairs.join(cells.select(F.col("vertex").alias("a"), F.col("cells").alias("ca")), "a")
         both = both.join(cells.select(F.col("vertex").alias("b"), F.col("cells").alias("cb")), "b")
         return both.select("a", "b", "ca", "cb").mapInArrow(_linked(least), "a long, b long")
 
-    found = components(near_links(items, verify, ESTIMATE * least / SIMILARITY))
+    # cells cut to 32 bits may be equal by chance, once in some thousand long texts
+    features = cells.select("vertex", _short(F.col("cells")).alias("features"))
+    found = components(near_links(members, items, verify, ESTIMATE * least / SIMILARITY, features, least - 0.001, least + 0.002))
     placed = known.select("id", "vertex").join(found.withColumnRenamed("id", "v"), F.col("vertex") == F.col("v"), "left")
     placed = placed.select("id", F.coalesce("component", "vertex").alias("component"))
     classes = placed.groupBy("component").agg(F.min("id").alias("class_id"), F.count("*").alias("class_size"))

@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from icuriver.llm.common import mix, parallelism, prepare
+from icuriver.llm.near import bucket_members, near_links
+from icuriver.session import cut_lineage
 
 #: The shared walk: for each class of characters a row of random bits, repeated after PERIOD steps.
 CLASSES, PERIOD = 64, 4096
@@ -174,3 +176,87 @@ def compare_with_next(docs: DataFrame, id_column: str = "doc_id", text_column: s
     kind = docs.select(id_column).schema[0].dataType.simpleString()
     schema = f"`{id_column}` {kind}, n_chars long, edited_sha256 string, cells binary, edited_cells binary, near_edited double, near_next double"
     return with_successor(docs, id_column, text_column).mapInArrow(work, schema)
+
+
+#: Samples in a band key, and the least agreement of samples for a pair to be verified.
+BAND, ESTIMATE = 3, 0.1
+
+
+def edit_distance(a: str, b: str) -> int:
+    """Insertions, deletions and replacements from a to b, a column of the table at a time as bits of one number."""
+    if len(a) < len(b):
+        a, b = b, a
+    if not b:
+        return len(a)
+    where: dict[str, int] = {}
+    for k, c in enumerate(b):
+        where[c] = where.get(c, 0) | 1 << k
+    full, top = (1 << len(b)) - 1, 1 << len(b) - 1
+    up, down, distance = full, 0, len(b)
+    for c in a:
+        equal = where.get(c, 0)
+        diagonal = (((equal & up) + up) ^ up) | equal | down
+        right_up = down | ~(diagonal | up) & full
+        right_down = up & diagonal
+        distance += bool(right_up & top) - bool(right_down & top)
+        right_up = (right_up << 1 | 1) & full
+        down, up = right_up & diagonal, (right_down << 1 | ~(right_up | diagonal)) & full
+    return distance
+
+
+def band_keys(sample: bytes) -> tuple[list[int], bytes]:
+    """Keys of BAND samples each at either scale, and the samples with those of even scales first."""
+    keys, halves = [], [b"", b""]
+    for k in (0, 1):
+        part, scale = sample[1 + k * CELLS : 1 + (k + 1) * CELLS], sample[0] + k
+        halves[scale % 2] = part
+        for band in range(CELLS // BAND):
+            some = part[band::CELLS // BAND][:BAND]
+            if any(some):
+                digest = hashlib.blake2b(bytes([scale, band]) + some, digest_size=8).digest()
+                keys.append(int.from_bytes(digest, "little", signed=True))
+    return keys, halves[0] + halves[1]
+
+
+def near_edits(docs: DataFrame, least: float = 0.98, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """(a, b, distance): verified pairs of documents whose texts differ by at most a share 1 - ``least`` of the longer one.
+
+    Equal texts are one document, named by the smallest id. Candidates share a band of samples of their
+    fingerprints, at either scale; each returned pair is verified by its exact edit distance. The pairs
+    connect what all verified pairs would, but pairs inside a group that others connect may be left out.
+    Samples survive a few edits in a hundred characters, so candidates get rarer below 0.97. Rows with
+    null ids take no part; a null text counts as empty and links with nothing.
+    """
+    prepare(docs.sparkSession)
+    texts = docs.where(F.col(id_column).isNotNull()).select(F.col(id_column).cast("long").alias("vertex"), F.coalesce(F.col(text_column).cast("string"), F.lit("")).alias("text"))
+    first = texts.groupBy(F.sha2("text", 256).alias("digest")).agg(F.min("vertex").alias("vertex"))
+    texts = texts.withColumn("digest", F.sha2("text", 256)).join(first, ["digest", "vertex"]).dropDuplicates(["vertex", "digest"])
+    texts = cut_lineage(texts.groupBy("vertex").agg(F.min("text").alias("text")))
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys, sketches = zip(*(band_keys(fingerprint(t)) for t in batch.column(1).to_pylist()), strict=True) if batch.num_rows else ((), ())
+            columns = [batch.column(0), pa.array(keys, pa.list_(pa.int64())), pa.array(sketches, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["vertex", "keys", "sketch"])
+
+    items = cut_lineage(texts.select("vertex", "text").mapInArrow(work, "vertex long, keys array<long>, sketch binary"))
+
+    @F.arrow_udf("long")
+    def distance(a: pa.Array, b: pa.Array) -> pa.Array:
+        return pa.array([edit_distance(x, y) for x, y in zip(a.to_pylist(), b.to_pylist(), strict=True)], pa.int64())
+
+    def measured(pairs: DataFrame) -> DataFrame:
+        both = pairs.join(texts.select(F.col("vertex").alias("a"), F.col("text").alias("ta")), "a")
+        both = both.join(texts.select(F.col("vertex").alias("b"), F.col("text").alias("tb")), "b")
+        within = (1 - least) * F.greatest(F.length("ta"), F.length("tb")) + 1e-9
+        both = both.withColumn("distance", distance("ta", "tb")).where(F.col("distance") <= within)
+        return both.select("a", "b", "distance")
+
+    @F.arrow_udf("binary")
+    def places(sketch: pa.Array) -> pa.Array:
+        some = (np.frombuffer(s, np.uint8).astype(np.uint32) for s in sketch.to_pylist())
+        return pa.array([(s + 256 * np.arange(len(s), dtype=np.uint32))[s > 0].tobytes() for s in some], pa.binary())
+
+    # agreement of samples is no proof, so every candidate pair across components is measured
+    features = items.select("vertex", places("sketch").alias("features"))
+    return measured(near_links(bucket_members(items), items, lambda pairs: measured(pairs).select("a", "b"), ESTIMATE, features, ESTIMATE / 2, 2.0))

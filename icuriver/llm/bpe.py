@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from icuriver.llm.common import prepare, slices, text_bytes
+from icuriver.llm.common import prepare, returning, slices, text_bytes
 from icuriver.llm.pieces import PieceTable, piece_starts
 
 #: Pair decisions kept in a worker.
@@ -198,4 +198,4 @@ def encode_texts(docs: DataFrame, vocabulary: str, id_column: str = "doc_id", te
 
     kind = docs.select(id_column).schema[0].dataType.simpleString()
     schema = f"`{id_column}` {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * ids
-    return docs.select(F.col(id_column), F.col(text_column).cast("string")).mapInArrow(work, schema)
+    return docs.select(F.col(id_column), F.col(text_column).cast("string")).mapInArrow(returning(work), schema)

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -14,7 +15,7 @@ from icuriver.session import cut_lineage, ship_package
 #: Text handed to a Python worker at once. A longer document travels alone.
 BATCH_BYTES = 4 << 20
 #: Bytes that numpy works on at once, where no single document is longer.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -33,6 +34,24 @@ def parallelism(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
+def give_back() -> None:
+    """Return freed memory to the system. Workers live on, and what they only hold in reserve counts on their machine."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def returning(work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable:
+    """``work`` on the batches of a task, with freed memory returned when it has seen the last."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from work(batches)
+        give_back()
+
+    return run
+
+
 def text_or_empty(column: str = "text") -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
@@ -87,7 +106,7 @@ def _power(base: int, n: int) -> np.ndarray:
         step = np.full(max(n, 1 << 16), base, np.uint64)
         step[0] = 1
         have = np.cumprod(step, dtype=np.uint64)
-        if n <= 2 * SLICE_BYTES:
+        if n <= BATCH_BYTES:
             _powers[base] = have
     return have[:n]
 

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from icuriver.llm.common import SLICE_BYTES, SpanHash, components, mix, prepare, slices, text_bytes
+from icuriver.llm.common import SLICE_BYTES, SpanHash, components, mix, prepare, returning, slices, text_bytes
 from icuriver.llm.near import bucket_members, near_links
 from icuriver.session import cut_lineage
 
@@ -190,20 +190,20 @@ def near_duplicates(docs: DataFrame, least: float = SIMILARITY, id_column: str =
     """
     prepare(docs.sparkSession)
     texts = docs.select(F.col(id_column).alias("id"), F.col(text_column).cast("string").alias("text"))
-    rows = cut_lineage(texts.mapInArrow(_sketch, "id long, vertex long, keys array<long>, sketch binary"))
+    rows = cut_lineage(texts.mapInArrow(returning(_sketch), "id long, vertex long, keys array<long>, sketch binary"))
     known = rows.where("id is not null")
     items = known.groupBy("vertex").agg(F.min("id").alias("id"), F.min_by(F.struct("keys", "sketch"), "id").alias("s"))
     items = cut_lineage(items.select("vertex", "id", "s.keys", "s.sketch"))
 
     members = bucket_members(items)
     wanted = items.join(members.select("vertex").distinct(), "vertex").select("vertex", "id")
-    cells = texts.join(wanted.select("id").distinct(), "id").select("text").mapInArrow(_cells, "vertex long, cells binary")
+    cells = texts.join(wanted.select("id").distinct(), "id").select("text").mapInArrow(returning(_cells), "vertex long, cells binary")
     cells = cut_lineage(cells.join(wanted.select("vertex"), "vertex").groupBy("vertex").agg(F.first("cells").alias("cells")))
 
     def verify(pairs: DataFrame) -> DataFrame:
         both = pairs.join(cells.select(F.col("vertex").alias("a"), F.col("cells").alias("ca")), "a")
         both = both.join(cells.select(F.col("vertex").alias("b"), F.col("cells").alias("cb")), "b")
-        return both.select("a", "b", "ca", "cb").mapInArrow(_linked(least), "a long, b long")
+        return both.select("a", "b", "ca", "cb").mapInArrow(returning(_linked(least)), "a long, b long")
 
     # cells cut to 32 bits may be equal by chance, once in some thousand long texts
     features = cells.select("vertex", _short(F.col("cells")).alias("features"))

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from icuriver.llm.common import mix, parallelism, prepare
+from icuriver.llm.common import mix, parallelism, prepare, returning
 from icuriver.llm.near import bucket_members, near_links
 from icuriver.session import cut_lineage
 
@@ -105,7 +105,7 @@ def fingerprints(docs: DataFrame, id_column: str = "doc_id", text_column: str =
             yield pa.RecordBatch.from_arrays(columns, [id_column, "n_chars", "cells"])
 
     kind = docs.select(id_column).schema[0].dataType.simpleString()
-    return docs.select(F.col(id_column), F.col(text_column).cast("string")).mapInArrow(work, f"`{id_column}` {kind}, n_chars long, cells binary")
+    return docs.select(F.col(id_column), F.col(text_column).cast("string")).mapInArrow(returning(work), f"`{id_column}` {kind}, n_chars long, cells binary")
 
 
 def with_successor(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -175,7 +175,7 @@ def compare_with_next(docs: DataFrame, id_column: str = "doc_id", text_column: s
 
     kind = docs.select(id_column).schema[0].dataType.simpleString()
     schema = f"`{id_column}` {kind}, n_chars long, edited_sha256 string, cells binary, edited_cells binary, near_edited double, near_next double"
-    return with_successor(docs, id_column, text_column).mapInArrow(work, schema)
+    return with_successor(docs, id_column, text_column).mapInArrow(returning(work), schema)
 
 
 #: Samples in a band key, and the least agreement of samples for a pair to be verified.
@@ -239,7 +239,7 @@ def near_edits(docs: DataFrame, least: float = 0.98, id_column: str = "doc_id",
             columns = [batch.column(0), pa.array(keys, pa.list_(pa.int64())), pa.array(sketches, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, ["vertex", "keys", "sketch"])
 
-    items = cut_lineage(texts.select("vertex", "text").mapInArrow(work, "vertex long, keys array<long>, sketch binary"))
+    items = cut_lineage(texts.select("vertex", "text").mapInArrow(returning(work), "vertex long, keys array<long>, sketch binary"))
 
     @F.arrow_udf("long")
     def distance(a: pa.Array, b: pa.Array) -> pa.Array:

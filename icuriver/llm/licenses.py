@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from icuriver.llm.common import SLICE_BYTES, SpanHash, prepare, slices, text_bytes
+from icuriver.llm.common import SLICE_BYTES, SpanHash, prepare, returning, slices, text_bytes
 
 # Phrases and their labels.
 PHRASES = {
@@ -207,4 +207,4 @@ def scan_licenses(
 
     kind = docs.select(id_column).schema[0].dataType.simpleString()
     schema = f"`{id_column}` {kind}, n_words long, spans array<struct<label:string,first:long,last:long,template:boolean>>, score double"
-    return docs.select(F.col(id_column), F.col(text_column).cast("string")).mapInArrow(work, schema)
+    return docs.select(F.col(id_column), F.col(text_column).cast("string")).mapInArrow(returning(work), schema)

@@ -10,7 +10,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from icuriver.llm.common import SpanHash, free_name, mix, parallelism, prepare, slices, text_bytes, text_or_empty
+from icuriver.llm.common import SpanHash, free_name, mix, parallelism, prepare, returning, slices, text_bytes, text_or_empty
 
 #: Leading tokens on the path from the root, after the token count.
 DEPTH = 3
@@ -192,9 +192,9 @@ def without_recurring_lines(
     number = F.col(id_column).cast("long")
     row = F.when(F.col(id_column).isNotNull(), F.xxhash64(number, text_or_empty(text_column)))
     texts = docs.where(F.col(id_column).isNotNull()).select(row.alias("row"), number.alias("id"), text_or_empty(text_column).alias("text"))
-    lines = texts.select("id", "text").mapInArrow(_distinct_lines(parts), "target int, n int, tokens int, payload binary")
-    recurring = lines.repartitionById(parts, F.col("target")).mapInArrow(_recurring(recurs, alike), "line long, `first` long")
-    own = texts.mapInArrow(_line_hashes, "row long, id long, lines array<long>").select("row", "id", F.posexplode("lines").alias("place", "line"))
+    lines = texts.select("id", "text").mapInArrow(returning(_distinct_lines(parts)), "target int, n int, tokens int, payload binary")
+    recurring = lines.repartitionById(parts, F.col("target")).mapInArrow(returning(_recurring(recurs, alike)), "line long, `first` long")
+    own = texts.mapInArrow(returning(_line_hashes), "row long, id long, lines array<long>").select("row", "id", F.posexplode("lines").alias("place", "line"))
     dropped = own.join(recurring, "line").where(F.col("id") > F.col("first")).groupBy("row").agg(F.collect_set("place").alias("places"))
 
     @F.arrow_udf("n_lines int, n_dropped int, kept string")

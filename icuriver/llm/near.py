@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from icuriver.llm.common import components
+from icuriver.llm.common import components, returning
 from icuriver.session import cut_lineage
 
 #: Members of a bucket that one task compares with as many others.
@@ -81,7 +81,7 @@ def _agreeing(pairs: DataFrame, items: DataFrame, least: float) -> DataFrame:
             agree = (matrix(batch.column(2).to_pylist()) == matrix(batch.column(3).to_pylist())).mean(axis=1)
             yield batch.select([0, 1]).filter(pa.array(agree >= least))
 
-    return both.select("a", "b", "sa", "sb").mapInArrow(work, "a long, b long")
+    return both.select("a", "b", "sa", "sb").mapInArrow(returning(work), "a long, b long")
 
 
 def bucket_members(items: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from icuriver.llm.common import prepare, slices, text_bytes
+from icuriver.llm.common import prepare, returning, slices, text_bytes
 from icuriver.llm.pieces import PieceTable, piece_starts
 
 #: Id put at the end of a document.
@@ -219,4 +219,4 @@ def pack_documents(
 
     kind = docs.select(id_column).schema[0].dataType.simpleString()
     schema = f"`{id_column}` {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, `offset` long" + ", ids binary" * ids
-    return docs.select(F.col(id_column), F.col(text_column).cast("string")).mapInArrow(work, schema)
+    return docs.select(F.col(id_column), F.col(text_column).cast("string")).mapInArrow(returning(work), schema)

@@ -85,11 +85,12 @@ class PieceTable:
         self.ids, self.begin, self.count = array("I"), array("q"), array("q")
 
     def add(self, pieces: list[bytes]) -> None:
-        for piece, ids in zip(pieces, self.encode(pieces), strict=True):
-            self.known[piece] = len(self.begin)
-            self.begin.append(len(self.ids))
-            self.count.append(len(ids))
-            self.ids.extend(ids)
+        for part in (pieces[k : k + 16_384] for k in range(0, len(pieces), 16_384)):
+            for piece, ids in zip(part, self.encode(part), strict=True):
+                self.known[piece] = len(self.begin)
+                self.begin.append(len(self.ids))
+                self.count.append(len(ids))
+                self.ids.extend(ids)
 
     def rows(self, data: np.ndarray, starts: np.ndarray) -> np.ndarray:
         """The table's row of each piece of ``data``."""

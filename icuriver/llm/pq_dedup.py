@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from icuriver.llm.common import components, prepare
+from icuriver.llm.common import components, prepare, returning
 from icuriver.session import cut_lineage
 
 #: Vectors that the lists and codebooks are fitted on at most, those with the smallest hashes.
@@ -167,7 +167,7 @@ def near_vectors(vectors: DataFrame, least: float = 0.95, id_column: str = "vec_
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.binary())], ["row", "id", "vec"])
 
     keyed = vectors.select(F.xxhash64(id_column, vector_column).alias("row"), F.col(id_column).cast("long").alias("id"), vector_column)
-    rows = cut_lineage(keyed.mapInArrow(parse, "row long, id long, vec binary"))
+    rows = cut_lineage(keyed.mapInArrow(returning(parse), "row long, id long, vec binary"))
     distinct = rows.where("vec is not null").groupBy("row").agg(F.first("vec").alias("vec"))
     sample = [np.frombuffer(r[0]) for r in distinct.orderBy(F.xxhash64("row"), "row").limit(SAMPLE).select("vec").collect()]
     lone = rows.select(F.col("id").alias(id_column), F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"), F.lit(True).alias("kept"))
@@ -187,7 +187,7 @@ def near_vectors(vectors: DataFrame, least: float = 0.95, id_column: str = "vec_
             columns = [batch.column(0), batch.column(1), pa.array(lists, pa.int32()), pa.array(probed, pa.list_(pa.int32()))]
             yield pa.RecordBatch.from_arrays(columns, ["row", "vec", "list", "probed"])
 
-    assigned = cut_lineage(distinct.mapInArrow(assign, "row long, vec binary, list int, probed array<int>"))
+    assigned = cut_lineage(distinct.mapInArrow(returning(assign), "row long, vec binary, list int, probed array<int>"))
     sizes = dict(assigned.groupBy("list").count().collect())  # one row for each list
     block = max(1, min(BLOCK, -(-n // BLOCKS)))
     order = np.argsort(fitted.centres @ np.linalg.svd(fitted.centres - fitted.centres.mean(axis=0), full_matrices=False)[2][0])

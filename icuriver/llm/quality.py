@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from icuriver.llm.common import SLICE_BYTES, SpanHash, free_name, mix, prepare, slices, text_bytes
+from icuriver.llm.common import SLICE_BYTES, SpanHash, free_name, give_back, mix, prepare, returning, slices, text_bytes
 
 #: Hashed weights; the model is this many 4-byte numbers.
 BITS = 18
@@ -165,9 +165,10 @@ def fit_quality(docs: DataFrame, labels: DataFrame, label: str = "quality", id_c
         part = part.sort_values(["row", "label"])
         w = fit_rows(list(zip(part["index"], part["value"], part["label"], strict=True)))
         index = np.flatnonzero(w)
+        give_back()
         return pd.DataFrame({"index": index.astype(np.int64), "weight": w[index]})
 
-    rows = texts.mapInArrow(vectors, "row long, label double, `index` array<int>, value array<double>")
+    rows = texts.mapInArrow(returning(vectors), "row long, label double, `index` array<int>, value array<double>")
     parts = rows.groupBy(F.pmod("row", F.lit(LEARNERS)).alias("learner")).applyInPandas(learn, "`index` long, weight double")
     weights = np.zeros((1 << BITS) + 1)
     for index, weight in parts.groupBy("index").agg((F.sum("weight") / LEARNERS).alias("weight")).collect():
@@ -184,7 +185,9 @@ def quality_score(docs: DataFrame, weights: np.ndarray, text_column: str = "text
 
     @F.arrow_udf("double")
     def score(text: pa.Array) -> pa.Array:
-        return pa.array(scores(*text_bytes(text), *model.value), pa.float64())
+        found = pa.array(scores(*text_bytes(text), *model.value), pa.float64())
+        give_back()
+        return found
 
     return score(F.col(text_column).cast("string"))
 

@@ -17,7 +17,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from icuriver.llm.common import SpanHash, free_name, parallelism, prepare, slices, text_bytes, text_or_empty
+from icuriver.llm.common import SpanHash, free_name, parallelism, prepare, returning, slices, text_bytes, text_or_empty
 from icuriver.session import cut_lineage
 
 #: Bytes of a removed string.
@@ -316,11 +316,11 @@ def repeated_spans(docs: DataFrame, match: int = MATCH, id_column: str = "doc_id
     def dealt(df: DataFrame) -> DataFrame:
         return df.repartitionById(parts, F.col("target"))
 
-    found = dealt(texts.mapInArrow(_find_runs(match, seed, parts), _SCHEMA)).mapInArrow(_settle(parts), _SCHEMA)
-    marks = cut_lineage(dealt(found).mapInArrow(_by_document(match), "row long, removed binary, wanted binary"))
+    found = dealt(texts.mapInArrow(returning(_find_runs(match, seed, parts)), _SCHEMA)).mapInArrow(returning(_settle(parts)), _SCHEMA)
+    marks = cut_lineage(dealt(found).mapInArrow(returning(_by_document(match)), "row long, removed binary, wanted binary"))
     wanted = texts.join(marks.where("wanted is not null").select("row", "wanted"), "row").select("row", "id", "text", "wanted")
-    pieces = wanted.mapInArrow(_wanted_texts(match, parts), "target int, low long, id long, `row` long, start long, text binary")
-    late = dealt(dealt(pieces).mapInArrow(_compare(match, parts), _SCHEMA)).mapInArrow(_by_document(match), "row long, removed binary, wanted binary")
+    pieces = wanted.mapInArrow(returning(_wanted_texts(match, parts)), "target int, low long, id long, `row` long, start long, text binary")
+    late = dealt(dealt(pieces).mapInArrow(returning(_compare(match, parts)), _SCHEMA)).mapInArrow(returning(_by_document(match)), "row long, removed binary, wanted binary")
     return marks.where("removed is not null").select("row", "removed"), late.select("row", F.col("removed").alias("late"))
 
 

@@ -106,16 +106,18 @@ def _diagnosis(t):
     return cohort.latest_diagnosis(t["person"], t["visit_occurrence"], t["condition_occurrence"], t["concept"], C.SEPSIS)
 
 
-_DIAGNOSIS = f"""SELECT vo.visit_occurrence_id, p.person_id, p.year_of_birth, p.gender_source_value, c.concept_id,
- c.concept_name, c.concept_code, co.condition_start_date, 1 AS sepsis_at_admission,
- row_number() OVER (PARTITION BY vo.visit_occurrence_id ORDER BY co.condition_start_date DESC) AS rownum
- FROM person p JOIN visit_occurrence vo USING (person_id) JOIN condition_occurrence co USING (visit_occurrence_id)
- JOIN concept c ON co.condition_concept_id = c.concept_id WHERE c.concept_id = {C.SEPSIS}"""
+# the last onset of the one diagnosis, with what the visit and its person say
+_DIAGNOSIS = f"""SELECT last.visit_occurrence_id, stay.person_id, who.year_of_birth, who.gender_source_value, named.*,
+ last.day AS condition_start_date, 1 AS sepsis_at_admission
+ FROM (SELECT visit_occurrence_id, max(condition_start_date) AS day FROM condition_occurrence WHERE condition_concept_id = {C.SEPSIS} GROUP BY ALL) last
+ JOIN visit_occurrence stay ON stay.visit_occurrence_id = last.visit_occurrence_id
+ JOIN person who ON who.person_id = stay.person_id,
+ (SELECT concept_id, concept_name, concept_code FROM concept WHERE concept_id = {C.SEPSIS}) named"""
 
 
 @query(
     "b2_latest_diagnosis",
-    with_ctes(CLINICAL, "SELECT * EXCLUDE (rownum) FROM dx WHERE rownum = 1", dx=_DIAGNOSIS),
+    with_ctes(CLINICAL, "FROM dx", dx=_DIAGNOSIS),
 )
 def b2(spark, sf):
     return _diagnosis(clinical(spark, sf))
@@ -137,11 +139,11 @@ def _exposure(t, kind):
 
 
 def _exposure_sql(rows, concept, time, ids, flag, names, older):
-    return f"""SELECT vo.visit_occurrence_id, CASE WHEN count(*) > 0 THEN 1 ELSE 0 END AS {flag},
- string_agg(DISTINCT c.concept_name, '; ' ORDER BY c.concept_name) AS {names}
- FROM {rows} de JOIN visit_occurrence vo USING (visit_occurrence_id) JOIN concept c ON de.{concept} = c.concept_id
- WHERE c.concept_id IN ({_ids(ids)}) AND de.{time} < TIMESTAMP '{AS_OF}' - INTERVAL {older}
- GROUP BY vo.visit_occurrence_id"""
+    return f"""SELECT visit_occurrence_id, 1 AS {flag}, array_to_string(list_sort(list_distinct(list(label))), '; ') AS {names}
+ FROM (SELECT concept_id AS {concept}, concept_name AS label FROM concept WHERE list_contains([{_ids(ids)}], concept_id)) listed
+ JOIN {rows} given USING ({concept})
+ WHERE {time} + INTERVAL {older} < TIMESTAMP '{AS_OF}' AND visit_occurrence_id IN (SELECT visit_occurrence_id FROM visit_occurrence)
+ GROUP BY visit_occurrence_id"""
 
 
 _DRUG_ARGS = ("drug_exposure", "drug_concept_id", "drug_exposure_start_datetime")
@@ -195,12 +197,11 @@ def combined(t):
     )
 
 
-_COMBINED = """SELECT vo.*, dx.person_id AS dx_person_id, dx.year_of_birth, dx.gender_source_value, dx.concept_id,
- dx.concept_name, dx.concept_code, dx.sepsis_at_admission, ab.sepsis_antibiotics_bool, ab.sepsis_antibiotics_given,
- oa.other_antibiotics_bool, oa.other_antibiotics_given, cu.sepsis_cultures_bool, cu.sepsis_cultures_drawn
- FROM visit_occurrence vo LEFT JOIN dx USING (visit_occurrence_id) LEFT JOIN ab USING (visit_occurrence_id)
- LEFT JOIN oa USING (visit_occurrence_id) LEFT JOIN cu USING (visit_occurrence_id)
- WHERE dx.rownum = 1 OR dx.rownum IS NULL"""
+_COMBINED = """SELECT stays.*, dx.person_id AS dx_person_id, dx.* EXCLUDE (visit_occurrence_id, person_id, condition_start_date),
+ ab.* EXCLUDE (visit_occurrence_id), oa.* EXCLUDE (visit_occurrence_id), cu.* EXCLUDE (visit_occurrence_id)
+ FROM visit_occurrence stays
+ LEFT JOIN dx ON dx.visit_occurrence_id = stays.visit_occurrence_id LEFT JOIN ab ON ab.visit_occurrence_id = stays.visit_occurrence_id
+ LEFT JOIN oa ON oa.visit_occurrence_id = stays.visit_occurrence_id LEFT JOIN cu ON cu.visit_occurrence_id = stays.visit_occurrence_id"""
 _COMBINED_STEPS = {"dx": _DIAGNOSIS, "ab": _ANTIBIOTICS, "oa": _OTHER, "cu": _CULTURES}
 
 
@@ -249,22 +250,17 @@ def b8(spark, sf):
 
 
 def _fio2_sql(device: str, first_day: bool) -> str:
-    steps = ""
-    for ids, levels in C.FIO2_STEPS:
-        ladder = "".join(f" WHEN n.value_as_number >= {a} THEN {b}" for a, b in reversed(levels))
-        body = f"CASE{ladder} ELSE 0.21 END" if ladder else "0.21"
-        steps += f" WHEN l.{device} IN ({_ids(ids)}) THEN {body}"
-    hours = "date_sub('hour', a.visit_start_datetime, n.measurement_datetime)"
-    limit = f"AND {hours} <= 24 AND {hours} >= 0" if first_day else ""
-    vent = f"n.measurement_concept_id IN ({_ids(C.VENTILATOR_OXYGEN)})"
-    return f"""SELECT n.visit_occurrence_id, n.measurement_datetime, l.value_as_number AS o2_value,
- CAST(l.{device} AS BIGINT) AS o2_device, {vent} AS ventilatory_support,
- CAST(CASE WHEN {vent} THEN coalesce(n.value_as_number, 0.21) ELSE CASE{steps} ELSE 0.21 END END AS DOUBLE) AS fio2
- FROM (SELECT * FROM measurement WHERE provider_id IS NOT NULL) n
- LEFT JOIN visit_occurrence a USING (visit_occurrence_id)
- LEFT JOIN (SELECT * FROM observation WHERE provider_id IS NOT NULL AND observation_concept_id = {C.OXYGEN_DEVICE}) l
- ON n.visit_occurrence_id = l.visit_occurrence_id AND n.measurement_datetime = l.observation_datetime
- WHERE n.measurement_concept_id IN ({_ids(C.OXYGEN)}) {limit} AND n.value_as_number > 0"""
+    rungs = ", ".join(f"({i}, {least}, {share})" for ids, levels in C.FIO2_STEPS for i in ids for least, share in levels)
+    window = "WHERE elapsed BETWEEN 0 AND 24" if first_day else ""
+    return f"""SELECT flow.visit_occurrence_id, flow.measurement_datetime, mask.o2_value, CAST(mask.kind AS BIGINT) AS o2_device,
+ flow.ventilatory_support, CAST(CASE WHEN flow.ventilatory_support THEN flow.amount ELSE coalesce(
+  (SELECT arg_max(rung.share, rung.least) FROM (VALUES {rungs}) rung(kind, least, share) WHERE rung.kind = mask.kind AND rung.least <= flow.amount), 0.21) END AS DOUBLE) AS fio2
+ FROM (SELECT visit_occurrence_id, measurement_datetime, value_as_number AS amount, measurement_concept_id IN ({_ids(C.VENTILATOR_OXYGEN)}) AS ventilatory_support,
+  date_sub('hour', (SELECT any_value(visit_start_datetime) FROM visit_occurrence s WHERE s.visit_occurrence_id = m.visit_occurrence_id), measurement_datetime) AS elapsed
+  FROM measurement m WHERE provider_id IS NOT NULL AND value_as_number > 0 AND measurement_concept_id IN ({_ids(C.OXYGEN)})) flow
+ LEFT JOIN (SELECT visit_occurrence_id, observation_datetime AS measurement_datetime, value_as_number AS o2_value, {device} AS kind FROM observation
+  WHERE observation_concept_id = {C.OXYGEN_DEVICE} AND provider_id IS NOT NULL) mask USING (visit_occurrence_id, measurement_datetime)
+ {window}"""
 
 
 _FIO2_OUT = f"SELECT visit_occurrence_id, measurement_datetime, {round_sql('o2_value', 'fio2')}, o2_device, ventilatory_support FROM fio2"
@@ -285,25 +281,20 @@ def b9_device(spark, sf):
     return rounded(out, "o2_value", "fio2")
 
 
-_OXYGENATION = f"""SELECT p.visit_occurrence_id,
- CASE p.unit_concept_id WHEN 152 THEN p.value_as_number * {C.KPA_TO_MMHG}::DOUBLE ELSE p.value_as_number END AS pao2,
- f.value_as_number AS specimen_source, p.provider_id IS NOT NULL AS manual_entry,
- date_sub('hour', a.visit_start_datetime, p.measurement_datetime) AS time, x.fio2, x.ventilatory_support,
- date_sub('minute', p.measurement_datetime, x.measurement_datetime) AS fio2_time_difference,
- x.measurement_datetime AS measurement_datetime,
- row_number() OVER (PARTITION BY p.visit_occurrence_id, p.measurement_datetime ORDER BY
-  abs(date_sub('minute', p.measurement_datetime, x.measurement_datetime)),
-  abs(date_sub('microsecond', p.measurement_datetime, x.measurement_datetime)), x.measurement_datetime, x.fio2,
-  x.ventilatory_support, CASE p.unit_concept_id WHEN 152 THEN p.value_as_number * {C.KPA_TO_MMHG}::DOUBLE ELSE p.value_as_number END,
-  f.value_as_number) AS priority
- FROM staff p LEFT JOIN visit_occurrence a USING (visit_occurrence_id)
- LEFT JOIN staff f ON p.visit_occurrence_id = f.visit_occurrence_id AND p.measurement_datetime = f.measurement_datetime
-  AND f.measurement_concept_id = {C.SPECIMEN}
- LEFT JOIN staff co2 ON p.visit_occurrence_id = co2.visit_occurrence_id AND p.measurement_datetime = co2.measurement_datetime
-  AND co2.measurement_concept_id = 3013290
- LEFT JOIN fio2 x ON p.visit_occurrence_id = x.visit_occurrence_id WHERE p.measurement_concept_id = {C.PAO2}"""
-_STAFF = "SELECT * FROM measurement WHERE provider_id IS NOT NULL"
-_OXY_STEPS = {"staff": _STAFF, "fio2": _fio2_sql("observation_concept_id", True), "oxy": _OXYGENATION}
+# one row for each visit and instant of a blood gas: the nearest oxygen share, ties as the operator breaks them
+_OXYGENATION = f"""SELECT DISTINCT ON (gas.visit_occurrence_id, gas.taken) gas.visit_occurrence_id, gas.pao2, specimen.kind AS specimen_source, gas.manual_entry,
+ date_sub('hour', stay.visit_start_datetime, gas.taken) AS time, air.fio2, air.ventilatory_support,
+ date_sub('minute', gas.taken, air.measurement_datetime) AS fio2_time_difference, air.measurement_datetime
+ FROM (SELECT visit_occurrence_id, measurement_datetime AS taken, TRUE AS manual_entry,
+  value_as_number * CASE WHEN unit_concept_id = 152 THEN {C.KPA_TO_MMHG}::DOUBLE ELSE 1 END AS pao2
+  FROM measurement WHERE measurement_concept_id = {C.PAO2} AND provider_id IS NOT NULL) gas
+ LEFT JOIN (SELECT visit_occurrence_id, measurement_datetime AS taken, value_as_number AS kind FROM measurement
+  WHERE measurement_concept_id = {C.SPECIMEN} AND provider_id IS NOT NULL) specimen USING (visit_occurrence_id, taken)
+ LEFT JOIN visit_occurrence stay USING (visit_occurrence_id)
+ LEFT JOIN fio2 air USING (visit_occurrence_id)
+ ORDER BY gas.visit_occurrence_id, gas.taken, abs(date_sub('minute', gas.taken, air.measurement_datetime)),
+  abs(date_sub('microsecond', gas.taken, air.measurement_datetime)), air.measurement_datetime, air.fio2, air.ventilatory_support, gas.pao2, specimen.kind"""
+_OXY_STEPS = {"fio2": _fio2_sql("observation_concept_id", True), "oxy": _OXYGENATION}
 _OXY_ALL = _OXY_STEPS | {"fio2": _fio2_sql("observation_concept_id", False)}
 _OXY_COLUMNS = f"""SELECT visit_occurrence_id, {round_sql('pao2', 'specimen_source', 'fio2')}, manual_entry, time,
  ventilatory_support, fio2_time_difference"""
@@ -314,7 +305,7 @@ def oxygenation(t, first_day=True, time_from=None):
     return nearest.oxygenation(t["measurement"], t["visit_occurrence"], fio2, time_from=time_from)
 
 
-@query("b10_nearest_fio2", with_ctes(CLINICAL, _OXY_COLUMNS + " FROM oxy WHERE priority = 1", **_OXY_STEPS))
+@query("b10_nearest_fio2", with_ctes(CLINICAL, _OXY_COLUMNS + " FROM oxy", **_OXY_STEPS))
 def b10(spark, sf):
     return rounded(oxygenation(clinical(spark, sf)), "pao2", "specimen_source", "fio2")
 
@@ -334,7 +325,7 @@ def b10_events(spark, sf):
 
 @query(
     "b11_ventilation_series",
-    with_ctes(CLINICAL, _OXY_COLUMNS + ", measurement_datetime FROM oxy WHERE priority = 1", **_OXY_ALL),
+    with_ctes(CLINICAL, _OXY_COLUMNS + ", measurement_datetime FROM oxy", **_OXY_ALL),
 )
 def b11(spark, sf):
     out = oxygenation(clinical(spark, sf), first_day=False, time_from="right")
@@ -381,24 +372,25 @@ _register_extract("b19_urine_output", extract.urine_output, "urine")
 
 
 def _doses_sql(absolute: bool, first_day: bool, weight_agg: str | None = None) -> str:
-    weight = f"""SELECT visit_occurrence_id, value_as_number AS patientweight FROM measurement
- WHERE provider_id IS NULL AND measurement_concept_id IN ({_ids(C.BODY_WEIGHT)})"""
-    if weight_agg:
-        weight = f"SELECT visit_occurrence_id, {weight_agg}(patientweight) AS patientweight FROM ({weight}) GROUP BY 1"
-    start, stop = "de.drug_exposure_start_datetime", "de.drug_exposure_end_datetime"
-    st = f"date_sub('minute', vo.visit_start_datetime, {start})"
-    en = f"date_sub('minute', vo.visit_start_datetime, {stop})"
-    rate = f"TRY_CAST(nullif(regexp_extract(de.sig, '{C.RATE_PATTERN}', 1), '') AS DOUBLE)"
-    head = "de.person_id, " if absolute else ""
-    times = f"{start} AS start_datetime, {stop} AS stop_datetime" if absolute else f"{st} AS start_time, {en} AS stop_time"
-    limit = f"AND {st} <= 1440 AND {en} >= 0" if first_day else ""
-    return f"""SELECT {head}de.visit_occurrence_id, de.drug_concept_id AS itemid, c.concept_name AS item,
- date_sub('minute', {start}, {stop}) AS duration,
- TRY_CAST(nullif(regexp_extract(de.sig, '{C.DOSE_PATTERN}', 1), '') AS DOUBLE) AS dose, {rate} AS rate, 'mg/uur' AS rateunit,
- {times}, fm.patientweight, {rate} * 1000 / fm.patientweight / 60 AS gamma
- FROM drug_exposure de LEFT JOIN visit_occurrence vo USING (visit_occurrence_id)
- LEFT JOIN concept c ON de.drug_concept_id = c.concept_id LEFT JOIN ({weight}) fm ON de.visit_occurrence_id = fm.visit_occurrence_id
- WHERE c.concept_id IN ({_ids(C.VASOACTIVE)}) AND {rate} > 0.1 {limit}"""
+    kept = "person_id, visit_occurrence_id, " if absolute else "visit_occurrence_id, "
+    times = "begin AS start_datetime, finish AS stop_datetime" if absolute else "begin_minute AS start_time, end_minute AS stop_time"
+    scale = "GROUP BY visit_occurrence_id" if weight_agg else ""
+    value = f"{weight_agg}(value_as_number)" if weight_agg else "value_as_number"
+    early = "AND begin_minute <= 1440 AND end_minute >= 0" if first_day else ""
+
+    def figure(pattern: str) -> str:
+        return f"TRY_CAST(nullif(regexp_extract(sig, '{pattern}', 1), '') AS DOUBLE)"
+
+    return f"""SELECT {kept}itemid, item, date_sub('minute', begin, finish) AS duration, dose, rate, 'mg/uur' AS rateunit, {times},
+ patientweight, rate * 1000 / patientweight / 60 AS gamma
+ FROM (SELECT drug.person_id, drug.visit_occurrence_id, drug.drug_concept_id AS itemid, label.concept_name AS item,
+   drug.drug_exposure_start_datetime AS begin, drug.drug_exposure_end_datetime AS finish, {figure(C.DOSE_PATTERN)} AS dose, {figure(C.RATE_PATTERN)} AS rate,
+   date_sub('minute', stay.visit_start_datetime, begin) AS begin_minute, date_sub('minute', stay.visit_start_datetime, finish) AS end_minute
+  FROM concept label JOIN drug_exposure drug ON label.concept_id = drug.drug_concept_id AND list_contains([{_ids(C.VASOACTIVE)}], label.concept_id)
+  LEFT JOIN visit_occurrence stay ON stay.visit_occurrence_id = drug.visit_occurrence_id) pump
+ LEFT JOIN (SELECT visit_occurrence_id, {value} AS patientweight FROM measurement
+  WHERE measurement_concept_id IN ({_ids(C.BODY_WEIGHT)}) AND provider_id IS NULL {scale}) scales USING (visit_occurrence_id)
+ WHERE rate > 0.1 {early}"""
 
 
 DOSES_DAY = _doses_sql(False, True)
@@ -457,23 +449,17 @@ def b18(spark, sf):
     return extract.coma_score(t["measurement"], t["visit_occurrence"])
 
 
-_CREATININE = f"""SELECT m.visit_occurrence_id, m.measurement_concept_id AS itemid, m.measurement_source_value AS item,
- m.value_as_number AS value, m.provider_id AS registeredby,
- date_sub('minute', vo.visit_start_datetime, m.measurement_datetime) AS time, b.baseline_creatinine, x.max_creatinine_7days,
- CASE WHEN b.baseline_creatinine > 0 AND x.max_creatinine_7days / b.baseline_creatinine > 3 THEN TRUE
- WHEN x.max_creatinine_7days >= 354 AND x.max_creatinine_7days - b.baseline_creatinine >= 44 THEN TRUE ELSE FALSE END AS acute_renal_failure
- FROM crea m LEFT JOIN visit_occurrence vo USING (visit_occurrence_id) LEFT JOIN crea_base b USING (visit_occurrence_id)
- LEFT JOIN crea_top x USING (visit_occurrence_id)
- WHERE date_sub('minute', vo.visit_start_datetime, m.measurement_datetime) BETWEEN -30 AND 1440"""
 _CREA_STEPS = {
-    "crea": f"SELECT * FROM measurement WHERE provider_id IS NOT NULL AND measurement_concept_id IN ({_ids(C.CREATININE)})",
-    "crea_base": """SELECT visit_occurrence_id, min(value_as_number) AS baseline_creatinine FROM crea
- LEFT JOIN visit_occurrence USING (visit_occurrence_id) WHERE date_sub('hour', visit_start_datetime, measurement_datetime) > -8760
- AND date_sub('hour', visit_start_datetime, measurement_datetime) < 24 GROUP BY 1""",
-    "crea_top": """SELECT visit_occurrence_id, max(value_as_number) AS max_creatinine_7days FROM crea
- LEFT JOIN visit_occurrence USING (visit_occurrence_id)
- WHERE date_sub('hour', visit_start_datetime, measurement_datetime) BETWEEN 0 AND 168 GROUP BY 1""",
-    "creatinine": _CREATININE,
+    "crea_timed": f"""SELECT lab.*, date_sub('minute', stay.visit_start_datetime, lab.measurement_datetime) AS minutes,
+ date_sub('hour', stay.visit_start_datetime, lab.measurement_datetime) AS hours
+ FROM measurement lab LEFT JOIN visit_occurrence stay ON stay.visit_occurrence_id = lab.visit_occurrence_id
+ WHERE lab.measurement_concept_id IN ({_ids(C.CREATININE)}) AND lab.provider_id IS NOT NULL""",
+    "crea_marks": """SELECT visit_occurrence_id, min(value_as_number) FILTER (hours > -8760 AND hours < 24) AS lowest,
+ max(value_as_number) FILTER (hours >= 0 AND hours <= 168) AS highest FROM crea_timed GROUP BY visit_occurrence_id""",
+    "creatinine": """SELECT t.visit_occurrence_id, t.measurement_concept_id AS itemid, t.measurement_source_value AS item, t.value_as_number AS value,
+ t.provider_id AS registeredby, t.minutes AS time, k.lowest AS baseline_creatinine, k.highest AS max_creatinine_7days,
+ coalesce(k.lowest > 0 AND k.highest / nullif(k.lowest, 0) > 3, FALSE) OR coalesce(k.highest >= 354 AND k.highest - k.lowest >= 44, FALSE) AS acute_renal_failure
+ FROM crea_timed t LEFT JOIN crea_marks k ON k.visit_occurrence_id = t.visit_occurrence_id WHERE t.minutes >= -30 AND t.minutes <= 1440""",
 }
 
 
@@ -552,7 +538,7 @@ _RESP = """SELECT visit_occurrence_id, pao2, fio2, ventilatory_support, pao2 / f
  CASE WHEN pao2 / fio2 < 100 AND ventilatory_support THEN 4 WHEN pao2 / fio2 >= 100 AND pao2 / fio2 < 200 AND ventilatory_support THEN 3
  WHEN pao2 / fio2 < 300 THEN 2 WHEN pao2 / fio2 >= 300 AND pao2 / fio2 < 400 THEN 1 ELSE 0 END AS sofa_respiration_score
  FROM (SELECT visit_occurrence_id, pao2, ventilatory_support, CASE WHEN fio2 > 100 THEN NULL WHEN fio2 BETWEEN 20 AND 100 THEN fio2 / 100
- WHEN fio2 > 1 THEN NULL ELSE fio2 END AS fio2 FROM oxy WHERE priority = 1 AND pao2 >= 50)"""
+ WHEN fio2 > 1 THEN NULL ELSE fio2 END AS fio2 FROM oxy WHERE pao2 >= 50)"""
 _SCORE_SQL = {
     "s_coag": "SELECT *, CASE WHEN value < 20 THEN 4 WHEN value < 50 THEN 3 WHEN value < 100 THEN 2 WHEN value < 150 THEN 1 ELSE 0 END AS sofa_coagulation_score FROM platelets",
     "s_liver": "SELECT *, CASE WHEN value >= 204 THEN 4 WHEN value >= 102 THEN 3 WHEN value >= 33 THEN 2 WHEN value >= 20 THEN 1 ELSE 0 END AS sofa_liver_score FROM bilirubin",

@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 CLUSTER_SIZES = (10, *range(50, 1000, 50))
-MAX_CENTRES = 10_000
+#: Distances that a task holds at once.
+BLOCK = 1 << 20
 
 
 def feature_array(columns: Sequence[str]) -> Column:
@@ -41,12 +42,17 @@ def centres_frame(df: DataFrame, model: KMeansModel) -> DataFrame:
 
 
 def _centre_matrix(centres: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    rows = centres.select("state", "centre").orderBy("state").limit(MAX_CENTRES + 1).collect()
-    if len(rows) > MAX_CENTRES:
-        raise ValueError(f"more than {MAX_CENTRES} centres")
+    rows = centres.select("state", "centre").orderBy("state").collect()
     return np.array([r["state"] for r in rows]), np.array([r["centre"] for r in rows], dtype=float)
 
 
+def _row_slices(batch: pd.Series, n_centres: int) -> Iterator[np.ndarray]:
+    """The batch's vectors, as many at once as have at most BLOCK distances to all centres."""
+    step = max(1, BLOCK // max(1, n_centres))
+    for a in range(0, len(batch), step):
+        yield np.stack(batch.iloc[a : a + step].to_numpy()).astype(float)
+
+
 def _squared_distances(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
     out = np.zeros((len(x), len(centres)))
     for j in range(centres.shape[1]):
@@ -54,19 +60,31 @@ def _squared_distances(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
     return out
 
 
+def _nearest(x: np.ndarray, centres: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Place and squared distance of each row's closest centre, the first at a tie, centre block by block."""
+    place, least = np.zeros(len(x), np.int64), np.full(len(x), np.inf)
+    for a in range(0, len(centres), BLOCK):
+        d = _squared_distances(x, centres[a : a + BLOCK])
+        at = d.argmin(axis=1)
+        d = d[np.arange(len(x)), at]
+        nearer = d < least
+        place[nearer], least[nearer] = a + at[nearer], d[nearer]
+    return place, least
+
+
 def assign_nearest(df: DataFrame, centres: DataFrame, features: str, out: str = "state") -> DataFrame:
     """Index of the closest centre, ties to the lowest (F2).
 
-    ``features`` is an array column. Centres are k rows (checked), shipped with the
-    vectorised function.
+    ``features`` is an array column. Centres are the k rows of a model, shipped with the
+    vectorised function; distances are held for a block of rows and centres at a time.
     """
     labels, matrix = _centre_matrix(centres)
 
     @F.pandas_udf("int")
     def nearest(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in batches:
-            x = np.array(batch.tolist(), dtype=float).reshape(len(batch), -1)
-            yield pd.Series(labels[_squared_distances(x, matrix).argmin(axis=1)])
+            found = [_nearest(x, matrix)[0] for x in _row_slices(batch, len(matrix))]
+            yield pd.Series(labels[np.concatenate(found)] if found else [], dtype="int32")
 
     return df.withColumn(out, nearest(F.col(features).cast("array<double>")))
 
@@ -97,8 +115,8 @@ def within_squares(df: DataFrame, centres: DataFrame, features: str) -> DataFram
     @F.pandas_udf("double")
     def best(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in batches:
-            x = np.array(batch.tolist(), dtype=float).reshape(len(batch), -1)
-            yield pd.Series(_squared_distances(x, matrix).min(axis=1))
+            found = [_nearest(x, matrix)[1] for x in _row_slices(batch, len(matrix))]
+            yield pd.Series(np.concatenate(found) if found else [], dtype=float)
 
     scored = df.select(best(F.col(features).cast("array<double>")).alias("d"))
     return scored.agg(F.sum("d").alias("wss"), F.count(F.lit(1)).alias("n"))
@@ -181,10 +199,12 @@ def soft_assignment(df: DataFrame, centres: DataFrame, features: str, *, alpha:
     @F.pandas_udf("array<double>")
     def weigh(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in batches:
-            x = np.array(batch.tolist(), dtype=float).reshape(len(batch), -1)
-            d = np.sqrt(_squared_distances(x, matrix))
-            power = np.exp(-alpha * (d - d.min(axis=1, keepdims=True)))
-            yield pd.Series(list(power / (power.sum(axis=1, keepdims=True) + 1e-8)))
+            found = []
+            for x in _row_slices(batch, len(matrix)):
+                d = np.sqrt(_squared_distances(x, matrix))
+                power = np.exp(-alpha * (d - d.min(axis=1, keepdims=True)))
+                found += list(power / (power.sum(axis=1, keepdims=True) + 1e-8))
+            yield pd.Series(found, dtype=object)
 
     return df.withColumn(out, weigh(F.col(features).cast("array<double>")))
 
@@ -205,10 +225,12 @@ def clustering_loss(
     @F.pandas_udf("double")
     def soft_distance(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in batches:
-            x = np.array(batch.tolist(), dtype=float).reshape(len(batch), -1)
-            d = np.sqrt(_squared_distances(x, matrix))
-            power = np.exp(-alpha * d)
-            yield pd.Series((d * power / (power.sum(axis=1, keepdims=True) + 1e-8)).sum(axis=1))
+            found = []
+            for x in _row_slices(batch, len(matrix)):
+                d = np.sqrt(_squared_distances(x, matrix))
+                power = np.exp(-alpha * d)
+                found.append((d * power / (power.sum(axis=1, keepdims=True) + 1e-8)).sum(axis=1))
+            yield pd.Series(np.concatenate(found) if found else [], dtype=float)
 
     error = F.lit(0.0)
     if original is not None and rebuilt is not None:

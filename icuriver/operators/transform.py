@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator, Mapping, Sequence
 
 import numpy as np
@@ -70,20 +71,30 @@ def _log_likelihood(df: DataFrame, grids: Mapping[str, Sequence[float]]) -> Data
 def fit_power(df: DataFrame, columns: Sequence[str]) -> dict[str, float]:
     """Maximum-likelihood exponent per column.
 
-    A grid on [-2, 4] for all columns at once, refined twice around each best value;
-    every round is one pass that returns one row per column. A column the
-    likelihood says nothing about (constant or empty) keeps exponent 1.
+    A grid on [-2, 4] for all columns at once. Where the best value lies at an edge, the
+    grid is moved there and made twice as wide, until the best lies inside; then it is
+    refined twice around it. Every round is one pass that returns one row per column. A
+    column the likelihood says nothing about (constant or empty) keeps exponent 1; one
+    whose likelihood rises without end keeps the last exponent whose transform is finite.
     """
-    step = (GRID_HIGH - GRID_LOW) / (GRID_STEPS - 1)
-    grids = {c: list(np.linspace(GRID_LOW, GRID_HIGH, GRID_STEPS)) for c in columns}
+    brackets = {c: (GRID_LOW, GRID_HIGH, REFINEMENTS) for c in columns}
     best: dict[str, float] = {}
-    for _ in range(REFINEMENTS + 1):
-        top = _log_likelihood(df, grids).groupBy("name").agg(F.max_by("lam", "llf").alias("lam"))
-        best = {r["name"]: r["lam"] for r in top.collect() if r["lam"] is not None}
-        grids = {c: list(np.linspace(lam - step, lam + step, GRID_STEPS)) for c, lam in best.items()}
-        step = 2 * step / (GRID_STEPS - 1)
-        if not grids:
-            break
+    while brackets:
+        grids = {c: np.linspace(low, high, GRID_STEPS).tolist() for c, (low, high, _) in brackets.items()}
+        likely = _log_likelihood(df, grids).where(F.abs("llf") < math.inf)
+        found = {r["name"]: r["lam"] for r in likely.groupBy("name").agg(F.max_by("lam", "llf").alias("lam")).collect()}
+        for c, (low, high, left) in list(brackets.items()):
+            lam = found.get(c)
+            if lam is None:
+                del brackets[c]
+                continue
+            best[c], step = lam, (high - low) / (GRID_STEPS - 1)
+            if lam in (grids[c][0], grids[c][-1]):
+                brackets[c] = (lam - (high - low), lam + (high - low), left)
+            elif left:
+                brackets[c] = (lam - step, lam + step, left - 1)
+            else:
+                del brackets[c]
     return {c: best.get(c, 1.0) for c in columns}
 
 

@@ -20,6 +20,7 @@ _CUT = """SELECT l.* FROM long l JOIN (SELECT feature_name, quantile_cont(CAST(v
  quantile_cont(CAST(value_as_number AS DOUBLE), 0.75) AS q3 FROM long GROUP BY 1) q USING (feature_name)
  WHERE value_as_number BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1)"""
 _ROUND_FEATURES = round_sql(*FEATURES)
+_NO_VIEW = [f for f in FEATURES if f != "view"]
 
 
 def windows(spark, sf):
@@ -54,15 +55,15 @@ def d1_fallback(spark, sf):
 
 
 _WIDE_CUTS = ", ".join(
-    f"round(CASE WHEN {f} BETWEEN {f}_1 - 1.5 * ({f}_3 - {f}_1) AND {f}_3 + 1.5 * ({f}_3 - {f}_1) THEN {f} END, 6) AS {f}" for f in ("click", "view")
+    f"round(CASE WHEN {f} BETWEEN {f}_1 - 1.5 * ({f}_3 - {f}_1) AND {f}_3 + 1.5 * ({f}_3 - {f}_1) THEN {f} END, 6) AS {f}" for f in FEATURES
 )
-_WIDE_Q = "SELECT " + ", ".join(f"quantile_cont({f}, 0.25) AS {f}_1, quantile_cont({f}, 0.75) AS {f}_3" for f in ("click", "view")) + " FROM win"
+_WIDE_Q = "SELECT " + ", ".join(f"quantile_cont({f}, 0.25) AS {f}_1, quantile_cont({f}, 0.75) AS {f}_3" for f in FEATURES) + " FROM win"
 
 
 @query("d2_outlier_null_wide", with_ctes(WINDOWS, f"SELECT {V}, {TS}, {_WIDE_CUTS} FROM win, q", q=_WIDE_Q))
 def d2(spark, sf):
-    rows = windows(spark, sf).select(*KEY, "click", "view")
-    return rounded(clean.null_outliers_wide(rows, ["click", "view"]), "click", "view")
+    rows = windows(spark, sf).select(*KEY, *FEATURES)
+    return rounded(clean.null_outliers_wide(rows, FEATURES), *FEATURES)
 
 
 @query(
@@ -115,18 +116,18 @@ def d6(spark, sf):
 
 @query(
     "d7_merge_series",
-    with_ctes((), f"""SELECT {V}, {TS}, round(click, 6) AS click, round(error, 6) AS error, view, round(view / click, 6) AS ratio
+    with_ctes((), f"""SELECT {V}, {TS}, {round_sql(*_NO_VIEW)}, view, round(view / click, 6) AS ratio
     FROM a FULL OUTER JOIN b USING ({V}, {TS})""",
-    a=f"""SELECT user_id AS {V}, date_trunc('day', ts) AS {TS}, avg(value) FILTER (WHERE event_type = 'click') AS click,
-    avg(value) FILTER (WHERE event_type = 'error') AS error FROM events WHERE event_type IN ('click', 'error') GROUP BY 1, 2""",
+    a=f"""SELECT user_id AS {V}, date_trunc('day', ts) AS {TS}, {', '.join(f"avg(value) FILTER (WHERE event_type = '{f}') AS {f}" for f in _NO_VIEW)}
+    FROM events WHERE event_type <> 'view' GROUP BY 1, 2""",
     b=f"SELECT user_id AS {V}, date_trunc('day', ts) AS {TS}, value AS view FROM events WHERE event_type = 'view'"),
 )
 def d7(spark, sf):
     days = long_events(spark, sf).withColumn(TS, F.date_trunc("day", TS).cast("timestamp_ntz"))
-    wide = reshape.to_wide(days, ["click", "error"])
+    wide = reshape.to_wide(days, _NO_VIEW)
     views = days.where("feature_name = 'view'").select(*KEY, F.col("value_as_number").alias("view"))
     merged = reshape.merge_series(wide, views)
-    return rounded(merged.withColumn("ratio", F.try_divide("view", "click")), "click", "error", "ratio")
+    return rounded(merged.withColumn("ratio", F.try_divide("view", "click")), *_NO_VIEW, "ratio")
 
 
 @query("d8_gap_filled_windows", with_ctes(WINDOWS, f"SELECT {V}, {TS}, {_ROUND_FEATURES} FROM win"))
@@ -172,13 +173,13 @@ def d10_subset(spark, sf):
 
 @query(
     "d11_attach_attributes",
-    with_ctes(WINDOWS, f"""SELECT w.{V}, w.{TS}, round(click, 6) AS click, c_acctbal, c_mktsegment
+    with_ctes(WINDOWS, f"""SELECT w.{V}, w.{TS}, {_ROUND_FEATURES}, c_acctbal, c_mktsegment
     FROM win w LEFT JOIN customer ON w.{V} = c_custkey"""),
 )
 def d11(spark, sf):
     people = table(spark, sf, "customer").withColumnRenamed("c_custkey", V)
-    rows = windows(spark, sf).select(*KEY, "click")
-    return rounded(reshape.attach_attributes(rows, people, ["c_acctbal", "c_mktsegment"]), "click")
+    rows = windows(spark, sf).select(*KEY, *FEATURES)
+    return rounded(reshape.attach_attributes(rows, people, ["c_acctbal", "c_mktsegment"]), *FEATURES)
 
 
 @query("d12_power_transform")
@@ -320,16 +321,16 @@ def d20(spark, sf):
 
 # --- nearest neighbours ---------------------------------------------------------------
 
-_DIMS = [f"x{i}" for i in range(8)]
+_DIMS = [f"x{i}" for i in range(64)]
 _HOLED = "SELECT vec_id, " + ", ".join(
-    f"CASE WHEN (vec_id + {i}) % 4 = 0 THEN NULL ELSE CAST(embedding[{i + 1}] AS DOUBLE) END AS x{i}" for i in range(8)
+    f"CASE WHEN (vec_id + {i}) % 4 = 0 THEN NULL ELSE CAST(embedding[{i + 1}] AS DOUBLE) END AS x{i}" for i in range(64)
 ) + " FROM embeddings"
 
 
 def holed(spark, sf):
-    """Eight embedding dimensions with every fourth cell missing."""
+    """All embedding dimensions with every fourth cell missing."""
     cells = [
-        F.when((F.col("vec_id") + i) % 4 != 0, F.col("embedding")[i].cast("double")).alias(f"x{i}") for i in range(8)
+        F.when((F.col("vec_id") + i) % 4 != 0, F.col("embedding")[i].cast("double")).alias(f"x{i}") for i in range(64)
     ]
     return table(spark, sf, "embeddings").select("vec_id", *cells)
 

@@ -269,14 +269,15 @@ _VECTORS = "SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS x FROM embeddin
 
 
 def _centres_sql(k):
-    return f"SELECT CAST(vec_id AS INTEGER) AS state, CAST(embedding AS DOUBLE[]) AS c FROM embeddings WHERE vec_id < {k}"
+    return f"""SELECT CAST(state AS INTEGER) AS state, list(m ORDER BY i) AS c FROM (SELECT label % {k} AS state, i, avg(CAST(embedding[i] AS DOUBLE)) AS m
+    FROM embeddings, range(1, {_DIM + 1}) place(i) GROUP BY ALL) GROUP BY state"""
 
 
-def first_centres(spark, sf, k):
-    """The first k vectors as fixed centres: the fitted part is given, the apply step is checked."""
-    return table(spark, sf, "embeddings").where(F.col("vec_id") < k).select(
-        F.col("vec_id").cast("int").alias("state"), F.col("embedding").cast("array<double>").alias("centre")
-    )
+def label_centres(spark, sf, k):
+    """Means of all vectors by label modulo k as fixed centres: the fitted part is given, the apply step is checked."""
+    names = [f"x{i}" for i in range(_DIM)]
+    rows = wide_vectors(spark, sf).withColumn("state", (F.col("label") % k).cast("int"))
+    return states.cluster_means(rows, names).select("state", F.array(*names).alias("centre"))
 
 
 _NEAREST = "SELECT vec_id, arg_min(state, (d, state)) AS state, min(d) AS d FROM (SELECT vec_id, state, list_distance(x, c) AS d FROM vecs, cen) GROUP BY 1"
@@ -298,7 +299,7 @@ def f1(spark, sf):
 @query("f2_assign_nearest_centre", with_ctes((), "SELECT vec_id, state FROM near", vecs=_VECTORS, cen=_centres_sql(10), near=_NEAREST))
 def f2(spark, sf):
     rows = table(spark, sf, "embeddings").select("vec_id", "embedding")
-    return states.assign_nearest(rows, first_centres(spark, sf, 10), "embedding").select("vec_id", "state")
+    return states.assign_nearest(rows, label_centres(spark, sf, 10), "embedding").select("vec_id", "state")
 
 
 @query("f3_cluster_count_sweep")
@@ -307,7 +308,7 @@ def f3(spark, sf):
     return states.evaluate_sizes(vectors, _DIM, sizes=(5, 10, 20))
 
 
-_SWEEP = " UNION ALL ".join(f"SELECT {k} AS k, CAST(vec_id AS INTEGER) AS state, CAST(embedding AS DOUBLE[]) AS c FROM embeddings WHERE vec_id < {k}" for k in (5, 10, 20))
+_SWEEP = " UNION ALL ".join(f"SELECT {k} AS k, * FROM ({_centres_sql(k)})" for k in (2, 5, 10))
 
 
 @query(
@@ -319,8 +320,8 @@ _SWEEP = " UNION ALL ".join(f"SELECT {k} AS k, CAST(vec_id AS INTEGER) AS state,
 def f3_fixed(spark, sf):
     rows = table(spark, sf, "embeddings").select("embedding")
     costs = None
-    for k in (5, 10, 20):
-        one = states.within_squares(rows, first_centres(spark, sf, k), "embedding").withColumn("cluster_size", F.lit(k))
+    for k in (2, 5, 10):
+        one = states.within_squares(rows, label_centres(spark, sf, k), "embedding").withColumn("cluster_size", F.lit(k))
         costs = one if costs is None else costs.unionByName(one)
     n = rows.agg(F.count(F.lit(1))).scalar()
     return rounded(states.information_criteria(costs, _DIM, n), "bic", "aic", "wss")
@@ -328,11 +329,11 @@ def f3_fixed(spark, sf):
 
 @query(
     "f4_cluster_means",
-    "SELECT label, " + ", ".join(f"round(avg(embedding[{i + 1}]::DOUBLE), 6) AS x{i}" for i in range(8)) + ", count(*) AS size FROM embeddings GROUP BY label",
+    "SELECT label, " + ", ".join(f"round(avg(embedding[{i + 1}]::DOUBLE), 6) AS x{i}" for i in range(_DIM)) + ", count(*) AS size FROM embeddings GROUP BY label",
 )
 def f4(spark, sf):
-    names = [f"x{i}" for i in range(8)]
-    return rounded(states.cluster_means(wide_vectors(spark, sf, 8), names, "label"), *names)
+    names = [f"x{i}" for i in range(_DIM)]
+    return rounded(states.cluster_means(wide_vectors(spark, sf), names, "label"), *names)
 
 
 @query("f5_principal_components")
@@ -354,7 +355,7 @@ def f5(spark, sf):
 )
 def f6(spark, sf):
     rows = table(spark, sf, "embeddings").select("label", "embedding")
-    both = states.assign_nearest(rows, first_centres(spark, sf, 10), "embedding")
+    both = states.assign_nearest(rows, label_centres(spark, sf, 10), "embedding")
     return rounded(states.labeling_agreement(both, "label", "state"), "nmi", "ari")
 
 
@@ -366,7 +367,7 @@ def f6(spark, sf):
 )
 def f7(spark, sf):
     rows = table(spark, sf, "embeddings").select("vec_id", "embedding")
-    out = states.soft_assignment(rows, first_centres(spark, sf, 10), "embedding", alpha=2.0)
+    out = states.soft_assignment(rows, label_centres(spark, sf, 10), "embedding", alpha=2.0)
     return rounded(out.select("vec_id", F.posexplode("weights").alias("state", "weight")), "weight")
 
 
@@ -380,7 +381,7 @@ def f7(spark, sf):
 def f8(spark, sf):
     rows = table(spark, sf, "embeddings").select(F.col("embedding").cast("array<double>").alias("x"))
     rebuilt = rows.withColumn("y", F.transform("x", lambda v: F.round(v, 1)))
-    out = states.clustering_loss(rebuilt, first_centres(spark, sf, 10), "x", original="x", rebuilt="y", weight=0.5)
+    out = states.clustering_loss(rebuilt, label_centres(spark, sf, 10), "x", original="x", rebuilt="y", weight=0.5)
     return rounded(out, "loss", "loss_reconstruction", "loss_clustering")
 
 

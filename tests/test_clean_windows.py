@@ -121,3 +121,16 @@ def test_power_transform(spark):
     # an exponent that makes the skew worse leaves the column alone
     same = transform.apply_power(df, {"x": 3.0}).agg(F.skewness("x")).first()[0]
     assert math.isclose(same, before)
+
+
+def test_power_transform_beyond_the_first_bracket(spark):
+    rng = np.random.default_rng(2)
+    x = (7.0 * rng.normal(3, 0.4, size=400) + 1) ** (1 / 7.0) - 1
+    low = -x
+    df = spark.createDataFrame([(float(a), float(b)) for a, b in zip(x, low)], "x double, low double")
+    fitted = transform.fit_power(df, ["x", "low"])
+    grid = np.linspace(-20, 20, 40001)
+    for name, values in (("x", x), ("low", low)):
+        best = grid[np.argmax([_llf(values, g) for g in grid])]
+        assert not -2 <= best <= 4
+        assert fitted[name] == pytest.approx(best, abs=1e-2)

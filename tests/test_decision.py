@@ -2,6 +2,7 @@ import itertools
 import math
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
@@ -254,3 +255,14 @@ def test_random_labelings_and_trials(spark):
     trials = spark.createDataFrame([(0, 0.5, "x"), (1, 0.2, "y"), (2, 0.4, "y"), (3, None, "x")], "number int, value double, p string")
     assert states.best_trial(trials).first()["number"] == 1
     assert as_set(states.trial_leaderboard(trials, ["p"]), "setting", "best", "trials") == [("x", 0.5, 1), ("y", 0.2, 2)]
+
+
+def test_nearest_centre_in_blocks(monkeypatch):
+    rng = np.random.default_rng(3)
+    x, centres = rng.integers(0, 3, (50, 2)).astype(float), rng.integers(0, 3, (23, 2)).astype(float)
+    whole = ((x[:, None] - centres) ** 2).sum(axis=2)
+    monkeypatch.setattr(states, "BLOCK", 5)
+    place, least = states._nearest(x, centres)
+    assert (place == whole.argmin(axis=1)).all() and (least == whole.min(axis=1)).all()
+    rows = [row for part in states._row_slices(pd.Series(list(x)), 2) for row in part]
+    assert np.array_equal(rows, x)

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from icuriver.llm.common import prepare, returning, slices, text_bytes
-from icuriver.llm.pieces import PieceTable, piece_starts
+from icuriver.llm.pieces import PIECE_BYTES, PieceTable, piece_starts
 
 #: Pair decisions kept in a worker.
 PAIRS = 400_000
@@ -174,7 +174,7 @@ def encode_texts(docs: DataFrame, vocabulary: str, id_column: str = "doc_id", te
         for batch in batches:
             data, borders = text_bytes(batch.column(1))
             counts, of_ids, of_text, lists = [], [], [], []
-            for a, b in slices(borders):
+            for a, b in slices(borders, PIECE_BYTES):
                 part, edge = data[borders[a] : borders[b]], borders[a : b + 1] - borders[a]
                 starts = piece_starts(part, edge)
                 rows = table.rows(part, starts)

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from icuriver.llm.common import prepare, returning, slices, text_bytes
-from icuriver.llm.pieces import PieceTable, piece_starts
+from icuriver.llm.pieces import PIECE_BYTES, PieceTable, piece_starts
 
 #: Id put at the end of a document.
 END = 1
@@ -147,7 +147,7 @@ def _table(content: bytes) -> _Tokens:
 def token_lists(data: np.ndarray, borders: np.ndarray, content: bytes) -> Iterator[np.ndarray]:
     """Each text's ids and the end id."""
     table = _table(content)
-    for a, b in slices(borders):
+    for a, b in slices(borders, PIECE_BYTES):
         part, edge = data[borders[a] : borders[b]], borders[a : b + 1] - borders[a]
         starts = piece_starts(part, edge)
         tokens, count = table.tokens(table.rows(part, starts))

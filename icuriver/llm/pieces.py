@@ -10,6 +10,9 @@ import regex
 
 from icuriver.llm.common import SpanHash
 
+#: Bytes cut into pieces at once: the larger, the fewer times a piece is looked up.
+PIECE_BYTES = 2 << 20
+
 _SPACE, _LETTER, _NUMBER, _OTHER = range(4)
 #: Code points that count as white space (Unicode's White_Space).
 _WHITE = [*range(9, 14), 32, 133, 160, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]

@@ -39,7 +39,3 @@ def frame(spark):
         return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in wanted.fields])
 
     return build
-
-
-def as_set(df, *columns):
-    return sorted(tuple(r[c] for c in columns) for r in df.select(*columns).collect())

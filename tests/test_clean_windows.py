@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import as_set
+from tests.rows import as_set
 from icuriver.operators import clean, reshape, transform
 
 V, TS = "visit_occurrence_id", "measurement_datetime"

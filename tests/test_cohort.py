@@ -3,7 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import as_set
+from tests.rows import as_set
 from icuriver.functions import concepts as C
 from icuriver.operators import cohort, extract, nearest
 from icuriver.sources import sinks, tables

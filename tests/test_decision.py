@@ -7,7 +7,7 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from conftest import as_set
+from tests.rows import as_set
 from icuriver.operators import actions, mdp, ope, states, timejoin, trajectory
 
 V, TS = "visit_occurrence_id", "measurement_datetime"

@@ -11,7 +11,7 @@ import pytest
 import corpus_pipeline
 from icuriver.llm import dart_minhash, line_templates, pq_dedup, suffix_dedup
 from icuriver.llm.common import components
-from tests.llm.conftest import SF, sentence
+from tests.llm.made_texts import SF, sentence
 
 
 def _key(name):

@@ -17,7 +17,7 @@ from tokenizers import Tokenizer
 
 from icuriver.llm import bpe, edit_fingerprint, licenses, packing, quality, sharding
 from icuriver.llm.catalog import QUERIES
-from tests.llm.conftest import SF
+from tests.llm.made_texts import SF
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 JSON = public_tokenizers.path("byte_bpe_50k.json")
@@ -199,7 +199,7 @@ def test_few_edits_keep_most_samples(few_docs):
 
 
 def test_near_edits_are_found_and_verified(spark):
-    from tests.llm.conftest import sentence
+    from tests.llm.made_texts import sentence
 
     base = [" ".join(sentence(k + j, 30) for j in range(4)) + f" {k * 7919}" for k in range(12)]
     rows = [(k, t) for k, t in enumerate(base)] + [(100 + k, t[:50] + "!" + t[51:]) for k, t in enumerate(base)] + [(200, None), (None, base[0])]

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from icuriver.llm.common import prepare, returning, slices, text_bytes
-from icuriver.llm.pieces import PIECE_BYTES, PieceTable, piece_starts
+from icuriver.llm.pieces import PIECE_BYTES, Numbers, PieceTable, piece_starts
 
 #: Pair decisions kept in a worker.
 PAIRS = 400_000
@@ -131,20 +131,19 @@ class _Texts(PieceTable):
 
     def __init__(self, encoder: PrefixEncoder):
         self.encoder = encoder
-        super().__init__(encoder.pieces, most=200_000)
+        super().__init__(encoder.pieces)
 
     def forget(self) -> None:
         super().forget()
-        self.decimal: list[bytes] = []
-        self.decoded: list[bytes] = []
+        self.decimal, self.decoded = Numbers(object), Numbers(object)
 
     def add(self, pieces: list[bytes]) -> None:
-        old = len(self.begin)
+        old = self.begin.n
         super().add(pieces)
-        for k in range(old, len(self.begin)):
-            ids = self.ids[self.begin[k] : self.begin[k] + self.count[k]]
-            self.decimal.append(b",".join(b"%d" % i for i in ids))
-            self.decoded.append(b"".join(self.encoder.bytes[i] for i in ids))
+        begin, count, ids = self.begin.view()[old:].tolist(), self.count.view()[old:].tolist(), self.ids.view()
+        lists = [ids[a : a + n].tolist() for a, n in zip(begin, count, strict=True)]
+        self.decimal.add(np.array([*(b",".join(b"%d" % i for i in x) for x in lists), None], object)[:-1])
+        self.decoded.add(np.array([*(b"".join(self.encoder.bytes[i] for i in x) for x in lists), None], object)[:-1])
 
 
 _tables: dict[bytes, _Texts] = {}
@@ -181,8 +180,8 @@ def encode_texts(docs: DataFrame, vocabulary: str, id_column: str = "doc_id", te
                 cut = np.searchsorted(starts, edge)
                 tokens, count = table.tokens(rows)
                 total = np.concatenate(([0], np.cumsum(count)))[cut]
-                decimal = np.array(table.decimal, object)[rows].tolist() if len(rows) else []
-                decoded = np.array(table.decoded, object)[rows].tolist() if len(rows) else []
+                decimal = table.decimal.view()[rows].tolist()
+                decoded = table.decoded.view()[rows].tolist()
                 for k in range(b - a):
                     counts.append(int(total[k + 1] - total[k]))
                     of_ids.append(hashlib.sha256(b",".join(decimal[cut[k] : cut[k + 1]])).hexdigest())

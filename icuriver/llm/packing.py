@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -125,10 +126,19 @@ class _Tokens(PieceTable):
     def __init__(self, content: str):
         from tokenizers import Tokenizer
 
-        tokenizer = Tokenizer.from_str(content)
-        tokenizer.encode_special_tokens = True
-        encode = getattr(tokenizer, "encode_batch_fast", tokenizer.encode_batch)
-        super().__init__(lambda pieces: [e.ids for e in encode([p.decode() for p in pieces], add_special_tokens=False)], most=200_000)
+        self.tokenizer = Tokenizer.from_str(content)
+        encode = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
+        super().__init__(lambda pieces: [e.ids for e in encode([p.decode() for p in pieces], add_special_tokens=False)])
+        added = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.added = re.compile(b"|".join(map(re.escape, added))) if added else None
+
+    def whole(self, data: np.ndarray, edge: np.ndarray) -> dict[int, np.ndarray]:
+        """Ids of the texts that may hold the wording of an added token, which the library takes out before it cuts pieces."""
+        if self.added is None:
+            return {}
+        raw = data.tobytes()
+        texts = {int(np.searchsorted(edge, m.start(), "right")) - 1 for m in self.added.finditer(raw)}
+        return {k: np.array(self.tokenizer.encode(raw[edge[k] : edge[k + 1]].decode(), add_special_tokens=False).ids, np.uint32) for k in texts}
 
 
 _tables: dict[bytes, _Tokens] = {}
@@ -144,16 +154,17 @@ def _table(content: bytes) -> _Tokens:
     return _tables[key]
 
 
-def token_lists(data: np.ndarray, borders: np.ndarray, content: bytes) -> Iterator[np.ndarray]:
-    """Each text's ids and the end id."""
+def token_lists(data: np.ndarray, borders: np.ndarray, content: bytes, end: int = END) -> Iterator[np.ndarray]:
+    """Each text's ids, as the library gives them without special tokens around the text, and the end id."""
     table = _table(content)
     for a, b in slices(borders, PIECE_BYTES):
         part, edge = data[borders[a] : borders[b]], borders[a : b + 1] - borders[a]
         starts = piece_starts(part, edge)
         tokens, count = table.tokens(table.rows(part, starts))
         total = np.concatenate(([0], np.cumsum(count)))[np.searchsorted(starts, edge)]
+        whole = table.whole(part, edge)
         for k in range(b - a):
-            yield np.append(tokens[total[k] : total[k + 1]], np.uint32(END))
+            yield np.append(whole[k] if k in whole else tokens[total[k] : total[k + 1]], np.uint32(end))
 
 
 def pack_documents(
@@ -162,6 +173,7 @@ def pack_documents(
     tokens: int = 2048,
     segments: int = 256,
     loss: int | None = None,
+    loss_column: str | None = None,
     id_column: str = "doc_id",
     text_column: str = "text",
     ids: bool = True,
@@ -169,8 +181,9 @@ def pack_documents(
     """(id, start, length, ids_crc32, doc_tokens, sequence_id, offset[, ids]): pieces of documents in sequences.
 
     ``tokenizer`` is a file of the ``tokenizers`` library with byte-level pieces, read by the driver. A
-    document is its ids and a last id 1; a null or empty text is that id alone. Every token bears loss
-    here. Each partition packs what it is given in its order, a batch at a time with one bin kept open,
+    document is its ids and a last id 1; a null or empty text is that id alone. ``loss`` limits the
+    loss-bearing tokens of a sequence (as many as tokens, if None); ``loss_column`` has their number in
+    each document, null for all, taken as spread evenly where a document is cut. Each partition packs what it is given in its order, a batch at a time with one bin kept open,
     so memory follows a batch and not the partition; the last bin is cut into powers of two. Sequence
     ids hold the partition's number. ``ids`` gives each piece's ids as little-endian 32-bit numbers.
     Rows with null or repeated ids are documents like others; an empty table gives no rows.
@@ -179,6 +192,9 @@ def pack_documents(
     with open(tokenizer, "rb") as f:
         content = spark.sparkContext.broadcast(f.read())
     limits = (tokens, segments, tokens if loss is None else loss)
+    if min(limits) < 1:
+        raise ValueError("every limit must be 1 at least")
+    bearing = F.lit(None) if loss_column is None else F.col(loss_column)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer, sequence = Packer(*limits, cut=True), TaskContext.get().partitionId() << 32
@@ -212,11 +228,15 @@ def pack_documents(
                 held[number] = (name, tokens_of)
                 number += 1
             lengths = np.array([len(held[k][1]) for k in range(first, number)], np.int64)
-            yield rows(list(packer.pack(list(range(first, number)), lengths, lengths)))
+            losses = lengths.astype(float)
+            if loss_column is not None:
+                given = batch.column(2).to_numpy(zero_copy_only=False)
+                losses = np.where(np.isnan(given), losses, np.clip(given, 0, lengths))
+            yield rows(list(packer.pack(list(range(first, number)), lengths, losses)))
             kept = {p[0] for p in packer.open.pieces}
             held = {k: v for k, v in held.items() if k in kept}
         yield rows(list(packer.rest()))
 
     kind = docs.select(id_column).schema[0].dataType.simpleString()
     schema = f"`{id_column}` {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, `offset` long" + ", ids binary" * ids
-    return docs.select(F.col(id_column), F.col(text_column).cast("string")).mapInArrow(returning(work), schema)
+    return docs.select(F.col(id_column), F.col(text_column).cast("string"), bearing.cast("double")).mapInArrow(returning(work), schema)

@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from array import array
 from collections.abc import Callable
 
 import numpy as np
 import regex
 
-from icuriver.llm.common import SpanHash
+from icuriver.llm.common import mix
 
 #: Bytes cut into pieces at once: the larger, the fewer times a piece is looked up.
 PIECE_BYTES = 2 << 20
@@ -76,42 +75,160 @@ def piece_starts(data: np.ndarray, borders: np.ndarray) -> np.ndarray:
     return at[start[:n]]
 
 
+#: Pieces of at most so many bytes are compared as three words, with their length in the last byte.
+SHORT = 23
+#: Third word of a piece that is found by its bytes; no short piece has it.
+_LONG = 255 << 56
+_KEEP = np.array([(1 << 8 * k) - 1 for k in range(8)] + [(1 << 64) - 1], np.uint64)
+
+
+def piece_words(data: np.ndarray, starts: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """Three words for each piece of at most SHORT bytes that only an equal piece shares."""
+    padded = np.zeros(len(data) + 32, np.uint8)
+    padded[: len(data)] = data
+    at_byte = np.ndarray((len(data) + 24,), "<u8", padded.data, strides=(1,))
+    words = np.empty((3, len(starts)), np.uint64)
+    for k in range(3):
+        words[k] = at_byte[starts + 8 * k] & _KEEP[np.clip(length - 8 * k, 0, 8)]
+    words[2] |= length.astype(np.uint64) << np.uint64(56)
+    return words
+
+
+class Numbers:
+    """A number array that grows at its end."""
+
+    def __init__(self, kind: type):
+        self.all, self.n = np.empty(1 << 12, kind), 0
+
+    def add(self, more: np.ndarray) -> None:
+        wanted = self.n + len(more)
+        if wanted > len(self.all):
+            grown = np.empty(max(wanted, 2 * len(self.all)), self.all.dtype)
+            grown[: self.n] = self.all[: self.n]
+            self.all = grown
+        self.all[self.n : wanted] = more
+        self.n = wanted
+
+    def view(self) -> np.ndarray:
+        return self.all[: self.n]
+
+
 class PieceTable:
-    """Token ids of pieces, kept for the pieces seen so far and begun anew when they are too many."""
+    """Token ids of pieces, kept for the pieces seen so far and begun anew when they are too many.
+
+    Pieces are found by open addressing for a whole slice at once and compared word for word; the few
+    longer than SHORT bytes are found by their bytes.
+    """
 
-    def __init__(self, encode: Callable[[list[bytes]], list[list[int]]], most: int = 300_000):
+    def __init__(self, encode: Callable[[list[bytes]], list[list[int]]], most: int = 1_000_000):
         self.encode, self.most = encode, most
         self.forget()
 
     def forget(self) -> None:
         self.known: dict[bytes, int] = {}
-        self.ids, self.begin, self.count = array("I"), array("q"), array("q")
+        self.ids, self.begin, self.count = Numbers(np.uint32), Numbers(np.int64), Numbers(np.int64)
+        self.words = [Numbers(np.uint64) for _ in range(3)]
+        self.slots = np.full(1 << 16, -1, np.int32)
 
     def add(self, pieces: list[bytes]) -> None:
         for part in (pieces[k : k + 16_384] for k in range(0, len(pieces), 16_384)):
-            for piece, ids in zip(part, self.encode(part), strict=True):
-                self.known[piece] = len(self.begin)
-                self.begin.append(len(self.ids))
-                self.count.append(len(ids))
-                self.ids.extend(ids)
+            lists = self.encode(part)
+            count = np.array([len(x) for x in lists], np.int64)
+            self.begin.add(self.ids.n + np.cumsum(count) - count)
+            self.count.add(count)
+            self.ids.add(np.array([i for x in lists for i in x], np.uint32))
+
+    @staticmethod
+    def _hash(words: np.ndarray) -> np.ndarray:
+        return mix(mix(words[0] + words[1] * np.uint64(0x9FB21C651E98DF25)) + words[2])
+
+    def _find(self, words: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+        """Row of each piece, -1 where it is unknown."""
+        top = np.uint64(len(self.slots) - 1)
+        known = [w.view() for w in self.words]
+        slot = (hashes & top).astype(np.int64)
+        found = self.slots[slot]
+        for own, all_known in zip(words, known, strict=True):
+            if len(all_known):
+                found = np.where((found >= 0) & (all_known[found] != own), -2, found)
+        left = np.flatnonzero(found == -2)  # another piece lies there: look further
+        while len(left):
+            slot[left] = (slot[left] + 1) & int(top)
+            at = self.slots[slot[left]]
+            same = at >= 0
+            for own, all_known in zip(words, known, strict=True):
+                same &= all_known[at] == own[left]
+            found[left] = np.where(same, at, -1)
+            left = left[(at >= 0) & ~same]
+        return found
+
+    def _place(self, hashes: np.ndarray, rows: np.ndarray) -> None:
+        """Put rows of new, different pieces at free slots."""
+        top = len(self.slots) - 1
+        slot = (hashes & np.uint64(top)).astype(np.int64)
+        left = np.arange(len(rows))
+        while len(left):
+            free = left[self.slots[slot[left]] < 0]
+            self.slots[slot[free]] = rows[free]
+            left = left[self.slots[slot[left]] != rows[left]]
+            slot[left] = (slot[left] + 1) & top
+
+    def _learn(self, words: np.ndarray, hashes: np.ndarray, pieces: list[bytes]) -> None:
+        first = self.begin.n
+        self.add(pieces)
+        for own, kept in zip(words, self.words, strict=True):
+            kept.add(own)
+        rows = np.arange(first, self.begin.n, dtype=np.int32)
+        if 2 * self.begin.n > len(self.slots):
+            self.slots = np.full(1 << int(4 * self.begin.n).bit_length(), -1, np.int32)
+            every = np.stack([w.view() for w in self.words])
+            real = np.flatnonzero(every[2] != np.uint64(_LONG))
+            self._place(self._hash(every[:, real]), real.astype(np.int32))
+        else:
+            self._place(hashes, rows)
 
     def rows(self, data: np.ndarray, starts: np.ndarray) -> np.ndarray:
         """The table's row of each piece of ``data``."""
         if not len(starts):
             return np.zeros(0, np.int64)
         ends = np.append(starts[1:], len(data))
-        _, index, inverse = np.unique(SpanHash(data).of(starts, ends), return_index=True, return_inverse=True)
-        raw = data.tobytes()
-        distinct = [raw[a:b] for a, b in zip(starts[index].tolist(), ends[index].tolist(), strict=True)]
-        if len(self.known) + len(distinct) > self.most:
+        length = ends - starts
+        short = length <= SHORT
+        words = piece_words(data, starts, np.minimum(length, SHORT))
+        hashes = self._hash(words)
+        for _ in range(2):
+            out = self._find(words, hashes).astype(np.int64)
+            out[~short] = -1
+            new = np.flatnonzero((out < 0) & short)
+            _, first, inverse = np.unique(hashes[new], return_index=True, return_inverse=True)
+            long = [data[a:b].tobytes() for a, b in zip(starts[~short].tolist(), ends[~short].tolist(), strict=True)]
+            fresh = len(first) + sum(p not in self.known for p in set(long))
+            if not self.begin.n or self.begin.n + fresh <= self.most:
+                break
             self.forget()
-        self.add(sorted(p for p in distinct if p not in self.known))
-        known = self.known
-        return np.array([known[p] for p in distinct], np.int64)[inverse]
+        if len(new):
+            chosen = new[first]
+            # two unknown pieces with one hash: all but the first are found by their bytes
+            apart = new[(words[:, new] != words[:, chosen][:, inverse]).any(axis=0)]
+            pieces = [data[a:b].tobytes() for a, b in zip(starts[chosen].tolist(), ends[chosen].tolist(), strict=True)]
+            by = sorted(range(len(pieces)), key=pieces.__getitem__)  # neighbours share beginnings
+            order = chosen[by]
+            self._learn(words[:, order], hashes[order], [pieces[k] for k in by])
+            out[new] = self._find(words[:, new], hashes[new])
+            out[apart] = -1
+        for at in np.flatnonzero(out < 0).tolist():
+            piece = data[starts[at] : ends[at]].tobytes()
+            if piece not in self.known:
+                self.known[piece] = self.begin.n
+                self.add([piece])
+                for kept, word in zip(self.words, (0, 0, _LONG), strict=True):
+                    kept.add(np.array([word], np.uint64))
+            out[at] = self.known[piece]
+        return out
 
     def tokens(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all pieces end to end, and the number of each piece's."""
-        count = np.array(self.count, np.int64)[rows]
-        begin = np.array(self.begin, np.int64)[rows]
+        count = self.count.view()[rows]
+        begin = self.begin.view()[rows]
         shift = np.repeat(begin - (np.cumsum(count) - count), count)
-        return np.array(self.ids, np.uint32)[shift + np.arange(len(shift))], count
+        return self.ids.view()[shift + np.arange(len(shift))], count

@@ -232,7 +232,6 @@ def _next_row(row, x, b, i):
 
 def check_packing(rows, texts):
     tokenizer = Tokenizer.from_file(JSON)
-    tokenizer.encode_special_tokens = True
     by_sequence, by_doc = defaultdict(list), defaultdict(list)
     for r in rows:
         by_sequence[r.sequence_id].append(r)
@@ -265,6 +264,34 @@ def test_packing_holds_every_id_once(few_docs, odd_docs, no_docs):
     assert packing.pack_documents(no_docs, JSON).count() == 0
 
 
+def test_added_tokens_are_those_of_the_library(spark):
+    texts = ["one <|endoftext|> two", "<|endoftext|><|endoftext|>", "x <|endof", "text|> y", "<|endoftext |>", "plain"] * 3
+    rows = list(enumerate(texts))
+    got = packing.pack_documents(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1), JSON).collect()
+    check_packing(got, rows)
+    assert 50256 in np.frombuffer(b"".join(bytes(r.ids) for r in got if r.doc_id == 0), "<u4")
+
+
+def test_turns_are_packed_under_their_loss_bearing_tokens(spark):
+    turns = spark.read.parquet(f"{SF}/conversations.parquet")
+    tokenizer = Tokenizer.from_file(JSON)
+    given = [(k, r.text, len(tokenizer.encode(r.text or "", add_special_tokens=False).ids) + 1 if r.role == "assistant" else 0) for k, r in enumerate(turns.collect())]
+    docs = spark.createDataFrame(given, "doc_id long, text string, bearing int").repartition(2, "doc_id")
+    rows = packing.pack_documents(docs, JSON, tokens=512, segments=16, loss=96, loss_column="bearing").collect()
+    bearing, by_sequence = {k: b for k, _, b in given}, defaultdict(list)
+    for r in rows:
+        by_sequence[r.sequence_id].append(r)
+    for pieces in by_sequence.values():
+        assert sum(r.length for r in pieces) <= 512 and len(pieces) <= 16
+        assert sum(r.length * bearing[r.doc_id] / r.doc_tokens for r in pieces) <= 96 + 1e-6
+    done = defaultdict(int)
+    for r in rows:
+        done[r.doc_id] += r.length
+    assert all(done[k] == len(tokenizer.encode(t or "", add_special_tokens=False).ids) + 1 for k, t, _ in given)
+    # prompts fill up what the answers' limit leaves empty
+    assert len(by_sequence) <= 1.3 * max(sum(bearing.values()) / 96, sum(done.values()) / 512, len(rows) / 16) + 20
+
+
 def test_packer_keeps_all_limits_without_cutting():
     rng = np.random.default_rng(2)
     lengths, losses = rng.integers(1, 60, 300), rng.integers(0, 20, 300)

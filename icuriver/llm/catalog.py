@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from icuriver.llm import bpe, dart_minhash, edit_fingerprint, licenses, line_templates, packing, pq_dedup, quality, sharding, suffix_dedup
+from icuriver.llm import bpe, dart_minhash, edit_fingerprint, licenses, line_templates, packing, pq_dedup, quality, residual_packing, sharding, suffix_dedup
 from icuriver.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -104,3 +104,9 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate class of every document."""
     return dart_minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op13_best_fit_packing")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in few sequences of at most 1024 tokens, cut only where they are longer."""
+    return residual_packing.pack_best_fit(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), ids=False)

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from icuriver.llm import bpe, dart_minhash, edit_fingerprint, licenses, line_templates, packing, pq_dedup, quality, residual_packing, sharding, suffix_dedup
+from icuriver.llm import bpe, dart_minhash, edit_fingerprint, licenses, line_templates, packing, pq_dedup, quality, ranked_search, residual_packing, sharding, suffix_dedup
 from icuriver.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -110,3 +110,19 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in few sequences of at most 1024 tokens, cut only where they are longer."""
     return residual_packing.pack_best_fit(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), ids=False)
+
+
+_TERMS = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+_RANKED = f"""WITH d AS (SELECT doc_id, {_TERMS} AS terms FROM documents), l AS (SELECT doc_id, len(terms) AS n FROM d WHERE len(terms) > 0),
+s AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS total FROM l), tf AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(terms) AS term FROM d) GROUP BY ALL),
+q AS (SELECT item_id, term, count(*) AS times FROM (SELECT item_id, unnest({_TERMS}) AS term FROM benchmark) GROUP BY ALL),
+w AS (SELECT term, CAST(floor(1000 * ln((2 * any_value(docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM tf, s WHERE term IN (SELECT term FROM q) GROUP BY term),
+sc AS (SELECT item_id, doc_id, CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + (25 * n * docs) // total)))) AS BIGINT) AS score
+ FROM q JOIN w USING (term) JOIN tf USING (term) JOIN l USING (doc_id), s GROUP BY ALL)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM sc WHERE score > 0) WHERE rank <= 20"""
+
+
+@query("op12_ranked_search", _RANKED)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 documents that score highest for each benchmark item, over all whole texts."""
+    return ranked_search.rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), 20)

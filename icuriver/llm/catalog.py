@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from icuriver.llm import bpe, dart_minhash, edit_fingerprint, licenses, line_templates, packing, pq_dedup, quality, ranked_search, residual_packing, sharding, suffix_dedup
+from icuriver.llm import bpe, dart_minhash, edit_fingerprint, hard_negatives, licenses, line_templates, packing, pq_dedup, quality, ranked_search, residual_packing, sharding, suffix_dedup
 from icuriver.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -126,3 +126,19 @@ SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM (SELECT *, row
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 documents that score highest for each benchmark item, over all whole texts."""
     return ranked_search.rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), 20)
+
+
+_WHOLE = "list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE)))"
+_NEGATIVES = f"""WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, {_WHOLE} AS x FROM embeddings
+ WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS a, b.vec_id AS b, a.label = b.label AS same, CAST(list_inner_product(a.x, b.x) AS BIGINT) AS score FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+p AS (SELECT a, b, score FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY a ORDER BY score DESC, b) <= 5)
+SELECT p.a AS anchor_id, p.b AS positive_id, CAST(row_number() OVER (PARTITION BY p.a, p.b ORDER BY s.score DESC, s.b) AS INTEGER) AS rank, s.b AS negative_id,
+ p.score AS positive_score, s.score AS negative_score FROM p JOIN s ON s.a = p.a AND NOT s.same AND 80 * p.score <= 100 * s.score AND s.score <= p.score QUALIFY rank <= 5"""
+
+
+@query("op11_hard_negatives", _NEGATIVES)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Negatives close below the nearest five of the same label, for every hundredth vector against all."""
+    vectors = table(spark, sf_dir, "embeddings").withColumn("label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
+    return hard_negatives.hard_negatives(vectors, F.col("vec_id") % 100 == 0)

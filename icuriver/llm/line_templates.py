@@ -3,34 +3,56 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from icuriver.llm.common import SpanHash, free_name, mix, parallelism, prepare, returning, slices, text_bytes, text_or_empty
+from icuriver.llm.common import SpanHash, free_name, mix, prepare, returning, slices, text_bytes, text_or_empty
+from icuriver.session import cut_lineage
 
 #: Leading tokens on the path from the root, after the token count.
 DEPTH = 3
-#: Share of equal tokens that puts a line under a template of its leaf.
+#: Share of a line's tokens that its template has in common with it.
 ALIKE = 0.8
+#: Share of a line's tokens that must be words of its template, and their least number; else the line stands for itself.
+WORDED, WORDS = 0.5, 3
 #: Documents in which a template recurs.
 RECURS = 6
+#: Bits of the broadcast filter of leaves at most, and for each leaf. The exact join follows.
+FILTER_BITS, BITS_A_LEAF = 27, 64
 
 _BLANK = np.zeros(256, bool)
 _BLANK[[9, 11, 12, 13, 32]] = True
-#: What stands for a variable field.
-_FIELD = np.uint64(0x5851F42D4C957F2D)
+_DIGIT = np.zeros(256, bool)
+_DIGIT[48:58] = True
+_LETTER = np.zeros(256, bool)
+_LETTER[65:91] = _LETTER[97:123] = _LETTER[128:] = True
 
 
-def lines_of(data: np.ndarray, borders: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Borders of texts among lines, borders of lines among tokens, and tokens, leaf and hash by line.
+@dataclass
+class Lines:
+    """Lines of some texts: borders of texts among lines and of lines among tokens, hash and leaf of lines, tokens' values."""
 
-    Lines end at newlines, so a text has one more line than newlines. Tokens are runs without white
-    space; one with a digit is a variable field. A leaf is a token count and the first DEPTH tokens; a
-    line's hash covers all its tokens. Lines without tokens have leaf 0.
+    texts: np.ndarray
+    cuts: np.ndarray
+    line: np.ndarray
+    leaf: np.ndarray
+    value: np.ndarray
+
+    @property
+    def count(self) -> np.ndarray:
+        return np.diff(self.cuts)
+
+
+def lines_of(data: np.ndarray, borders: np.ndarray) -> Lines:
+    """Lines end at newlines, so a text has one more line than newlines. Tokens are runs without white space.
+
+    A line's hash covers its tokens as they are. In a token's value each run of digits is one sign; the
+    last bit says whether it is a word: it has a letter and no digit. A leaf is a token count and the
+    first DEPTH values. Lines without tokens have leaf 0.
     """
     newline = data == 10
     newlines = np.concatenate(([0], np.cumsum(newline)))[borders]
@@ -46,8 +68,17 @@ def lines_of(data: np.ndarray, borders: np.ndarray) -> tuple[np.ndarray, np.ndar
     inside = np.concatenate(([False], ~(_BLANK[data] | newline), [False]))
     token = np.flatnonzero(inside[1:-1] & (~inside[:-2] | edge[:-1]))
     token_end = np.flatnonzero(inside[1:-1] & (~inside[2:] | edge[1:])) + 1
-    digits = np.concatenate(([0], np.cumsum((data >= 48) & (data <= 57))))
-    value = np.where(digits[token_end] > digits[token], _FIELD, SpanHash(data).of(token, token_end))
+    digit = _DIGIT[data]
+    digits = np.concatenate(([0], np.cumsum(digit)))
+    letters = np.concatenate(([0], np.cumsum(_LETTER[data])))
+    word = (digits[token_end] == digits[token]) & (letters[token_end] > letters[token])
+    # one sign for a run of digits
+    stays = np.ones(len(data), bool)
+    stays[1:] = ~(digit[1:] & digit[:-1]) | edge[1:-1]
+    shift = np.concatenate(([0], np.cumsum(stays)))
+    masked = np.where(digit, np.uint8(48), data)[stays]
+    value = SpanHash(masked).of(shift[token], shift[token_end])
+    value = (value & ~np.uint64(1)) | word
     line_cut = np.append(np.searchsorted(token, start), len(token))
     count = np.diff(line_cut)
     leaf = mix(count.astype(np.uint64))
@@ -55,121 +86,93 @@ def lines_of(data: np.ndarray, borders: np.ndarray) -> tuple[np.ndarray, np.ndar
     for k in range(DEPTH):
         leaf = mix(leaf * np.uint64(3) + np.where(count > k, padded[line_cut[:-1] + k], 0))
     leaf = np.where(count > 0, leaf, 0)
-    place = np.arange(len(value)) - np.repeat(line_cut[:-1], count)
-    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(mix(value + place.astype(np.uint64) * np.uint64(0x2545F4914F6CDD1D)), dtype=np.uint64)))
-    line = mix(sums[line_cut[1:]] - sums[line_cut[:-1]] + leaf)
-    return text_cut, line_cut, value, leaf, line
-
+    exact = SpanHash(data).of(token, token_end)
+    place = np.arange(len(token)) - np.repeat(line_cut[:-1], count)
+    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(mix(exact + place.astype(np.uint64) * np.uint64(0x2545F4914F6CDD1D)), dtype=np.uint64)))
+    line = mix(sums[line_cut[1:]] - sums[line_cut[:-1]] + count.astype(np.uint64))
+    return Lines(text_cut, line_cut, line, leaf, value)
 
-def _pack(*arrays: np.ndarray) -> bytes:
-    planes = b"".join(np.ascontiguousarray(a).view(np.uint8).reshape(len(a), -1).T.tobytes() for a in arrays)
-    return zstandard.ZstdCompressor(1).compress(planes)
 
-
-def _unpack(blob: bytes, n: int, tokens: int) -> list[np.ndarray]:
-    raw, out, at = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), np.uint8), [], 0
-    for kind, size in ((np.uint64, n), (np.uint64, n), (np.int64, n), (np.uint32, n), (np.uint32, n), (np.uint16, tokens)):
-        width = np.dtype(kind).itemsize
-        out.append(np.ascontiguousarray(raw[at : at + size * width].reshape(width, -1).T).view(kind).ravel())
-        at += size * width
-    return out
+def _leaf_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(leaf, rows): texts that hold each leaf, batch by batch."""
+    for batch in batches:
+        data, borders = text_bytes(batch.column(0))
+        found = []
+        for a, b in slices(borders):
+            lines = lines_of(data[borders[a] : borders[b]], borders[a : b + 1] - borders[a])
+            text = np.repeat(np.arange(b - a, dtype=np.uint64), np.diff(lines.texts))
+            order = np.lexsort((text, lines.leaf))
+            leaf, text = lines.leaf[order], text[order]
+            other = np.ones(len(leaf), bool)
+            other[1:] = (leaf[1:] != leaf[:-1]) | (text[1:] != text[:-1])
+            found.append(leaf[other & (leaf != 0)])
+        leaf, rows = np.unique(np.concatenate(found), return_counts=True) if found else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+        yield pa.RecordBatch.from_arrays([pa.array(leaf.astype(np.int64)), pa.array(rows, pa.int64())], ["leaf", "rows"])
 
 
-def _distinct_lines(parts: int):
-    """Distinct lines of a batch with their documents' number and smallest id, dealt out by leaf."""
+def _lines_in(filter_bits):
+    """Lines whose leaf may recur: (id, row, place, leaf, line), and their tokens with the first equal line of a batch."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.unpackbits(np.frombuffer(filter_bits.value, np.uint8), bitorder="little").view(bool)
+        top = np.uint64(len(bits) - 1)
         for batch in batches:
-            name = batch.column(0).to_numpy()
-            data, borders = text_bytes(batch.column(1))
-            made: list[tuple] = []
+            data, borders = text_bytes(batch.column(2))
+            ids, rows = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            known: set[int] = set()
+            out: list[list] = [[] for _ in range(6)]
             for a, b in slices(borders):
-                text_cut, line_cut, value, leaf, line = lines_of(data[borders[a] : borders[b]], borders[a : b + 1] - borders[a])
-                doc = np.repeat(np.arange(a, b), np.diff(text_cut))
-                some = np.flatnonzero(np.diff(line_cut) > 0)
-                if not len(some):
-                    continue
-                order = some[np.lexsort((name[doc[some]], line[some]))]
-                new = np.diff(line[order], prepend=line[order[:1]] + np.uint64(1)) != 0
-                other = new | (np.diff(doc[order], prepend=-1) != 0)
-                first = np.flatnonzero(new)
-                docs = np.add.reduceat(other.astype(np.int64), first)
-                of = order[first]
-                target = (leaf[of] % np.uint64(parts)).astype(np.int64)
-                by = np.argsort(target, kind="stable")
-                of, docs, target = of[by], docs[by], target[by]
-                count = np.diff(line_cut)[of]
-                cuts = np.flatnonzero(np.diff(target, prepend=-1))
-                for s, e in zip(cuts.tolist(), np.append(cuts[1:], len(of)).tolist(), strict=True):
-                    part, n = of[s:e], count[s:e]
-                    at = np.repeat(line_cut[part] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-                    tokens = (value[at] >> np.uint64(48)).astype(np.uint16)
-                    made.append((int(target[s]), e - s, len(tokens), _pack(leaf[part], line[part], name[doc[part]], docs[s:e].astype(np.uint32), n.astype(np.uint32), tokens)))
-            columns = list(zip(*made, strict=True)) or [[]] * 4
-            kinds = [pa.int32(), pa.int32(), pa.int32(), pa.binary()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["target", "n", "tokens", "payload"])
+                lines = lines_of(data[borders[a] : borders[b]], borders[a : b + 1] - borders[a])
+                at = np.flatnonzero((lines.leaf != 0) & bits[(lines.leaf & top).astype(np.int64)])
+                text = np.searchsorted(lines.texts, at, "right") - 1
+                values = lines.value.view(np.int64)
+                for column, more in zip(out, (ids[a + text], rows[a + text], at - lines.texts[text], lines.leaf[at].view(np.int64), lines.line[at].view(np.int64)), strict=False):
+                    column.append(more)
+                for k, hashed in zip(at.tolist(), lines.line[at].tolist(), strict=True):
+                    fresh = hashed not in known
+                    known.add(hashed)
+                    out[5].append(values[lines.cuts[k] : lines.cuts[k + 1]] if fresh else None)
+            columns = [np.concatenate(c) if c else np.zeros(0, np.int64) for c in out[:5]]
+            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64()]
+            arrays = [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)] + [pa.array(out[5], pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(arrays, ["id", "row", "place", "leaf", "line", "tokens"])
 
     return work
 
 
-def leaf_templates(tokens: np.ndarray, docs: np.ndarray, alike: float) -> np.ndarray:
-    """Template number of each line of one leaf (lines by tokens), the most frequent lines first.
-
-    The first line not under a template begins one; lines that agree with it in a share of ``alike`` of
-    their tokens come under it, and the places in which they differ are variable fields.
-    """
-    group = np.full(len(tokens), -1)
-    left, number = np.arange(len(tokens)), 0
-    while len(left):
-        same = (tokens[left] == tokens[left[0]]).mean(axis=1) >= alike - 1e-9
-        group[left[same]] = number
-        left, number = left[~same], number + 1
-    return group
-
+def _leaf_filter(leaves: DataFrame) -> bytes:
+    """A bit for each leaf by its lowest bits; its size is bounded, whatever the number of leaves."""
+    power = max(16, min(FILTER_BITS, (BITS_A_LEAF * leaves.count()).bit_length()))
+    bit = F.col("leaf").bitwiseAND(F.lit((1 << power) - 1))
+    words = leaves.groupBy(F.shiftright(bit, 5).alias("at")).agg(F.bit_or(F.expr("shiftleft(1L, cast(leaf & 31 as int))")).alias("word"))
+    found = words.toArrow()
+    bits = np.zeros(1 << (power - 5), np.uint32)
+    bits[found.column("at").to_numpy()] = found.column("word").to_numpy().astype(np.uint32)
+    return bits.astype("<u4").tobytes()
 
-def _recurring(recurs: int, alike: float):
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        blobs = [_unpack(p, n, t) for b in batches for n, t, p in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True)]
-        if not blobs:
-            return
-        leaf, line, name, docs, count, tokens = (np.concatenate(c) for c in zip(*blobs, strict=True))
-        del blobs
-        begin = np.concatenate(([0], np.cumsum(count.astype(np.int64))))[:-1]
-        order = np.lexsort((name, line, leaf))
-        leaf, line, name, docs, count, begin = (x[order] for x in (leaf, line, name, docs, count, begin))
-        first = np.flatnonzero(np.diff(line, prepend=line[:1] + np.uint64(1)) != 0)
-        docs, name = np.add.reduceat(docs.astype(np.int64), first), np.minimum.reduceat(name, first)
-        leaf, line, count, begin = leaf[first], line[first], count[first].astype(np.int64), begin[first]
-        cuts = np.flatnonzero(np.diff(leaf, prepend=leaf[:1] + np.uint64(1)) != 0)
-        ends, total = np.append(cuts[1:], len(leaf)), np.add.reduceat(docs, cuts)
-        out_line, out_first = [], []
-        for s, e in zip(cuts[total >= recurs].tolist(), ends[total >= recurs].tolist(), strict=True):
-            if e - s == 1:
-                group, members = np.zeros(1, np.int64), np.array([s])
-            else:
-                members = np.arange(s, e)[np.lexsort((line[s:e], -docs[s:e]))]
-                group = leaf_templates(tokens[begin[members][:, None] + np.arange(count[s])], docs[members], alike)
-            number = np.bincount(group, weights=docs[members])
-            least = np.full(len(number), np.iinfo(np.int64).max)
-            np.minimum.at(least, group, name[members])
-            chosen = number[group] >= recurs
-            out_line.append(line[members[chosen]].astype(np.int64))
-            out_first.append(least[group[chosen]])
-        if out_line:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out_line), pa.int64()), pa.array(np.concatenate(out_first), pa.int64())], ["line", "first"])
-
-    return work
 
+def line_templates(lines: DataFrame, leaves: DataFrame, recurs: int, alike: float) -> DataFrame:
+    """(line, template) of different lines (id, place, leaf, line, tokens) in ``leaves``.
 
-def _line_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        data, borders = text_bytes(batch.column(2))
-        lists = []
-        for a, b in slices(borders):
-            text_cut, line_cut, _, _, line = lines_of(data[borders[a] : borders[b]], borders[a : b + 1] - borders[a])
-            values = line.astype(np.int64)
-            lists += [values[text_cut[k] : text_cut[k + 1]] for k in range(b - a)]
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(lists, pa.list_(pa.int64()))], ["row", "id", "lines"])
+    In a leaf a value is literal at its place if at least ``recurs`` documents have it there, each
+    voting with its first line of the leaf; other places are variable fields. A line comes under the
+    template of its literal places if these are a share of ``alike`` of it, and enough of them words;
+    else it stands for itself.
+    """
+    votes = lines.groupBy("leaf", "id").agg(F.min(F.struct("place", "line")).alias("first")).groupBy(F.col("first.line").alias("line")).agg(F.count("*").alias("votes"))
+    known = lines.where("tokens is not null").groupBy("line").agg(F.first("leaf").alias("leaf"), F.first("tokens").alias("tokens"))
+    known = known.join(leaves.select("leaf"), "leaf", "left_semi")
+    voted = known.join(votes, "line", "left").select("line", "leaf", "tokens", F.coalesce("votes", F.lit(0)).alias("votes"))
+    places = cut_lineage(voted.select("line", "leaf", "votes", F.posexplode("tokens").alias("at", "value")))
+    later = places.where(F.col("at") >= DEPTH)
+    common = later.groupBy("leaf", "at", "value").agg(F.sum("votes").alias("n")).where(F.col("n") >= recurs).select("leaf", "at", "value", F.lit(True).alias("literal"))
+    marked = later.join(common, ["leaf", "at", "value"], "left").unionByName(places.where(F.col("at") < DEPTH).withColumn("literal", F.lit(True)))
+    literal = F.coalesce("literal", F.lit(False))
+    word = F.when(literal, F.col("value").bitwiseAND(F.lit(1))).otherwise(0)
+    shape = F.bit_xor(F.xxhash64("at", F.when(literal, F.col("value")).otherwise(0), literal))
+    made = marked.groupBy("line", "leaf").agg(F.count("*").alias("n"), F.sum(literal.cast("int")).alias("same"), F.sum(word).alias("words"), shape.alias("shape"))
+    fits = (F.col("same") >= alike * F.col("n") - 1e-9) & (F.col("words") >= WORDED * F.col("n")) & (F.col("words") >= WORDS)
+    return made.select("line", F.when(fits, F.xxhash64("leaf", "shape")).otherwise(F.col("line")).alias("template"))
 
 
 def without_recurring_lines(
@@ -177,25 +180,32 @@ def without_recurring_lines(
 ) -> DataFrame:
     """``docs`` with a last column, lines or a free name like it, of (n_lines, n_dropped, kept).
 
-    Each line goes down a tree by its number of tokens and its first DEPTH tokens, those with digits as
-    variable fields; in the leaf it comes under a template that it agrees with in ``alike`` of its tokens.
-    A template recurs that covers at least ``recurs`` (document, different line) pairs; its lines are
-    dropped, save those in the document with the smallest id. kept is the other lines, joined by
-    newlines. Lines without tokens stay. A null text counts as empty: one empty line. Rows without id
-    keep all lines and do not count; rows with one id count as documents of that id. Ids are whole numbers.
-
-    Equal lines are counted within a batch before they leave it. A task holds the different lines of its
-    leaves as 2 bytes a token.
+    Each line goes down a tree by its number of tokens and its first DEPTH tokens, a run of digits in a
+    token counting as any other. In the leaf its places become literal or variable fields (see
+    ``line_templates``); a line with few words, such as a row of numbers, an address or a code, only
+    equals itself. A template recurs that at least ``recurs`` different documents have lines of, and
+    its lines are dropped, save those in the document with the smallest id. kept is the other lines,
+    joined by newlines. Lines without tokens stay. A null text counts as empty: one empty line. Rows
+    without id keep all lines and do not count; rows with one id are one document. Ids are whole numbers.
+
+    Values, lines and templates are compared by 64 bits. A first pass counts texts by leaf; only lines
+    whose leaf is in enough of them leave a task in the second, through a filter of bounded size and an
+    exact join. All counts are aggregates, so no task holds a leaf.
     """
     spark = prepare(docs.sparkSession)
-    parts = parallelism(spark)
     number = F.col(id_column).cast("long")
-    row = F.when(F.col(id_column).isNotNull(), F.xxhash64(number, text_or_empty(text_column)))
-    texts = docs.where(F.col(id_column).isNotNull()).select(row.alias("row"), number.alias("id"), text_or_empty(text_column).alias("text"))
-    lines = texts.select("id", "text").mapInArrow(returning(_distinct_lines(parts)), "target int, n int, tokens int, payload binary")
-    recurring = lines.repartitionById(parts, F.col("target")).mapInArrow(returning(_recurring(recurs, alike)), "line long, `first` long")
-    own = texts.mapInArrow(returning(_line_hashes), "row long, id long, lines array<long>").select("row", "id", F.posexplode("lines").alias("place", "line"))
-    dropped = own.join(recurring, "line").where(F.col("id") > F.col("first")).groupBy("row").agg(F.collect_set("place").alias("places"))
+    own = F.xxhash64(text_or_empty(text_column))
+    texts = docs.where(F.col(id_column).isNotNull()).select(number.alias("id"), own.alias("row"), text_or_empty(text_column).alias("text"))
+    counted = texts.select("text").mapInArrow(returning(_leaf_counts), "leaf long, rows long")
+    leaves = cut_lineage(counted.groupBy("leaf").agg(F.sum("rows").alias("rows")).where(F.col("rows") >= recurs))
+    bits = spark.sparkContext.broadcast(_leaf_filter(leaves))
+    lines = cut_lineage(texts.mapInArrow(returning(_lines_in(bits)), "id long, `row` long, place int, leaf long, line long, tokens array<long>"))
+    templates = cut_lineage(line_templates(lines, leaves, recurs, alike))
+    placed = lines.select("id", "row", "place", "line").join(templates, "line")
+    recurring = placed.groupBy("template", "id").agg(F.lit(1)).groupBy("template").agg(F.count("*").alias("n"), F.min("id").alias("first"))
+    recurring = recurring.where(F.col("n") >= recurs).select("template", "first")
+    late = placed.join(recurring, "template").where(F.col("id") > F.col("first"))
+    dropped = late.groupBy("id", "row").agg(F.collect_set("place").alias("places"))
 
     @F.arrow_udf("n_lines int, n_dropped int, kept string")
     def cut(text: pa.Array, places: pa.Array) -> pa.Array:
@@ -207,7 +217,9 @@ def without_recurring_lines(
             out[2].append("\n".join(x for k, x in enumerate(own) if k not in drop) if drop else t or "")
         return pa.StructArray.from_arrays([pa.array(c, k) for c, k in zip(out, (pa.int32(), pa.int32(), pa.string()), strict=True)], ["n_lines", "n_dropped", "kept"])
 
-    key, places, name = free_name(docs, "row"), free_name(docs, "places"), free_name(docs, "lines")
-    marked = docs.withColumn(key, row).join(dropped.toDF("_dropped_row", places), F.col(key) == F.col("_dropped_row"), "left")
+    id_key, row_key, own_id, own_row, places, name = (free_name(docs, n) for n in ("line_id", "line_row", "own_id", "own_row", "places", "lines"))
+    marked = docs.withColumns({id_key: number, row_key: own}).join(
+        dropped.toDF(own_id, own_row, places), (F.col(id_key) == F.col(own_id)) & (F.col(row_key) == F.col(own_row)), "left"
+    )
     marked = marked.withColumn(name, cut(F.col(text_column).cast("string"), F.col(places)))
     return marked.select(*[F.col(c) for c in docs.columns], F.col(name))

@@ -97,26 +97,46 @@ def test_longest_previous_factors_against_all_suffixes():
 # lines
 
 def expected_lines(rows, recurs, alike):
+    """Lines left by the definition: fields by votes in a leaf, templates counted in different documents."""
     def tokens(line):
-        return tuple("#" if re.search("[0-9]", t) else t for t in re.split("[\t\x0b\x0c\r ]+", line) if t)
+        return tuple(t for t in re.split("[\t\x0b\x0c\r ]+", line) if t)
 
-    leaves = defaultdict(lambda: defaultdict(set))
-    for k, (name, text) in enumerate(rows):
-        for line in (text or "").split("\n") if name is not None else ():
+    def shape(line):
+        return tuple(re.sub("[0-9]+", "0", t) for t in line)
+
+    def word(t):
+        return not re.search("[0-9]", t) and bool(re.search("[A-Za-z\x80-\U0010ffff]", t))
+
+    def leaf_of(line):
+        return len(line), shape(line)[:3]
+
+    first_line, lines = {}, defaultdict(set)
+    for name, text in rows:
+        for place, line in enumerate((text or "").split("\n")) if name is not None else ():
             if key := tokens(line):
-                leaves[len(key), key[:3]][key].add((k, name))
-    first = {}
-    for lines in leaves.values():
-        left = sorted(lines, key=lambda key: -len(lines[key]))
-        while left:
-            group = [key for key in left if sum(a == b for a, b in zip(key, left[0], strict=True)) >= alike * len(key) - 1e-9]
-            left = [key for key in left if key not in group]
-            if sum(len(lines[key]) for key in group) >= recurs:
-                first |= dict.fromkeys(group, min(n for key in group for _, n in lines[key]))
+                lines[key].add(name)
+                first_line.setdefault((leaf_of(key), name), (place, key))
+                first_line[leaf_of(key), name] = min(first_line[leaf_of(key), name], (place, key), key=lambda x: x[0])
+    votes = defaultdict(Counter)
+    for (leaf, _), (_, key) in first_line.items():
+        votes[leaf].update(enumerate(shape(key)))
+
+    def template(key):
+        leaf, shaped = leaf_of(key), shape(key)
+        literal = [k < 3 or votes[leaf][k, t] >= recurs for k, t in enumerate(shaped)]
+        words = sum(x and word(t) for x, t in zip(literal, key, strict=True))
+        if sum(literal) >= alike * len(key) - 1e-9 and words >= 0.5 * len(key) and words >= 3:
+            return leaf, tuple(t if x else None for x, t in zip(literal, shaped, strict=True))
+        return key
+
+    holders, of = defaultdict(set), {key: template(key) for key in lines}
+    for key, names in lines.items():
+        holders[of[key]] |= names
+    first = {t: min(names) for t, names in holders.items() if len(names) >= recurs}
     out = []
     for name, text in rows:
         own = (text or "").split("\n")
-        kept = [x for x in own if name is None or first.get(tokens(x), name) >= name]
+        kept = [x for x in own if name is None or not tokens(x) or first.get(of[tokens(x)], name) >= name]
         out.append((_key(name), len(own), len(own) - len(kept), "\n".join(kept)))
     return sorted(out)
 
@@ -146,12 +166,34 @@ def test_lines_defined_results(odd_docs, no_docs):
     assert out.columns[:-1] == odd_docs.columns
     got = sorted((_key(r.doc_id), r[-1].n_lines, r[-1].n_dropped, r[-1].kept) for r in out.collect())
     assert got == expected_lines([(r.doc_id, r.text) for r in odd_docs.collect()], 2, 0.8)
+    clashing = odd_docs.withColumnsRenamed({"row": "own_row", "id": "own_id", "late": "line_id", "removed": "line_row"})
+    assert line_templates.without_recurring_lines(clashing).columns[:-1] == clashing.columns
     assert line_templates.without_recurring_lines(no_docs).count() == 0
 
 
-def test_leaf_templates_generalise_places():
-    tokens = np.array([[1, 2, 3, 4, 5], [1, 2, 3, 9, 5], [1, 2, 3, 9, 9], [1, 2, 3, 4, 7]], np.uint16)
-    assert line_templates.leaf_templates(tokens, np.ones(4), 0.8).tolist() == [0, 0, 1, 0]
+def test_lines_that_only_look_alike_stay(spark):
+    names = ["aaaa", "cqtq", "gqgl", "hunb", "kzxs", "ludw"]
+    rows = [(k, f"{k} {k * 7} {k * k}\n20{10 + k}\nhttp://a.b/{k}\nAB-{k}-X\n世界{k}世界") for k in range(1, 11)]
+    rows += [(20 + k, f"posted by user {n}") for k, n in enumerate(names)]
+    table = "\n".join(f"entry {k} of the long list" for k in range(5))
+    rows += [(40, table), (41, "entry 77 of the long list")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = found_lines(docs)
+    assert got == expected_lines(rows, 6, 0.8) and not any(r[2] for r in got)
+    more = rows + [(50 + k, f"entry {k} of the long list\nown words {names[k]}") for k in range(4)]
+    got = found_lines(spark.createDataFrame(more, "doc_id long, text string"))
+    assert got == expected_lines(more, 6, 0.8)
+    assert [r[2] for r in got if r[0] >= 40] == [0, 1, 1, 1, 1, 1]  # six documents have it now
+
+
+def test_a_wide_leaf_and_few_filter_bits(spark, monkeypatch):
+    monkeypatch.setattr(line_templates, "FILTER_BITS", 16)
+    rng = np.random.default_rng(3)
+    words = [f"{a}{b}{c}" for a in "abc" for b in "def" for c in "ghi"]
+    rows = [(k, "\n".join(" ".join(["now the", "user", *rng.choice(words, 1 + k % 3), "left", "the", *rng.choice(words[:2], 2)]) for _ in range(int(rng.integers(0, 9))))) for k in range(150)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = found_lines(docs)
+    assert got == expected_lines(rows, 6, 0.8) and any(r[2] for r in got)
 
 
 # near-duplicates

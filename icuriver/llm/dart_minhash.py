@@ -7,10 +7,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from icuriver.llm.common import SLICE_BYTES, SpanHash, components, mix, prepare, returning, slices, text_bytes
+from icuriver.llm.common import SLICE_BYTES, SpanHash, components, free_name, mix, prepare, returning, slices, text_bytes
 from icuriver.llm.near import bucket_members, near_links
 from icuriver.session import cut_lineage
 
@@ -131,18 +131,18 @@ def _text_digest(text: str | None) -> int:
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         digests, keys, sketches = [], [], []
-        for a, b, cell, cut in _parts(batch, 1):
+        for a, b, cell, cut in _parts(batch, 2):
             marks = signatures(cell, cut)
             some = np.diff(cut) > 0
             key = np.zeros((b - a, BANDS), np.uint64)
             for r in range(ROWS):
                 key = mix(key * np.uint64(0x9E3779B97F4A7C15) + marks[:, r::ROWS] + np.arange(BANDS, dtype=np.uint64))
-            digest, texts = _set_digests(cell, cut), batch.column(1)
+            digest, texts = _set_digests(cell, cut), batch.column(2)
             digests += [int(d) if s else _text_digest(texts[k].as_py()) for k, d, s in zip(range(a, b), digest, some, strict=True)]
             keys += [k if s else [] for k, s in zip(key.astype(np.int64), some, strict=True)]
             sketches += [r.tobytes() for r in (marks & np.uint64(255)).astype(np.uint8)]
-        columns = [batch.column(0), pa.array(digests, pa.int64()), pa.array(keys, pa.list_(pa.int64())), pa.array(sketches, pa.binary())]
-        yield pa.RecordBatch.from_arrays(columns, ["id", "vertex", "keys", "sketch"])
+        columns = [*batch.columns[:2], pa.array(digests, pa.int64()), pa.array(keys, pa.list_(pa.int64())), pa.array(sketches, pa.binary())]
+        yield pa.RecordBatch.from_arrays(columns, ["id", "own", "vertex", "keys", "sketch"])
 
 
 def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -177,20 +177,12 @@ def _linked(least: float):
     return work
 
 
-def near_duplicates(docs: DataFrame, least: float = SIMILARITY, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """(id, class_id, class_size, kept): classes of documents that links of similarity ``least`` connect.
-
-    The similarity is the weighted one of five-word shingles: common occurrences over all. class_id is
-    the smallest id of the class, the document that is kept. Texts with the same shingles are one
-    vertex, so copies cost nothing more. A text without words is only in a class with equal texts; null
-    counts as empty. Rows that repeat an id count as documents of that id. Rows without id belong to no
-    class, and are kept. Ids are whole numbers.
-    Candidates come from BANDS keys of ROWS marks; every candidate pair that could join two classes is
-    verified on the whole sets.
-    """
+def _components(docs: DataFrame, least: float, id_column: str, text_column: str) -> tuple[DataFrame, DataFrame]:
+    """Rows (id, own) with an id and their component, and those without an id; own is a hash of the text."""
     prepare(docs.sparkSession)
-    texts = docs.select(F.col(id_column).alias("id"), F.col(text_column).cast("string").alias("text"))
-    rows = cut_lineage(texts.mapInArrow(returning(_sketch), "id long, vertex long, keys array<long>, sketch binary"))
+    text = F.col(text_column).cast("string")
+    texts = docs.select(F.col(id_column).cast("long").alias("id"), F.xxhash64(text).alias("own"), text.alias("text"))
+    rows = cut_lineage(texts.mapInArrow(returning(_sketch), "id long, own long, vertex long, keys array<long>, sketch binary"))
     known = rows.where("id is not null")
     items = known.groupBy("vertex").agg(F.min("id").alias("id"), F.min_by(F.struct("keys", "sketch"), "id").alias("s"))
     items = cut_lineage(items.select("vertex", "id", "s.keys", "s.sketch"))
@@ -208,19 +200,47 @@ def near_duplicates(docs: DataFrame, least: float = SIMILARITY, id_column: str =
     # cells cut to 32 bits may be equal by chance, once in some thousand long texts
     features = cells.select("vertex", _short(F.col("cells")).alias("features"))
     found = components(near_links(members, items, verify, ESTIMATE * least / SIMILARITY, features, least - 0.001, least + 0.002))
-    placed = known.select("id", "vertex").join(found.withColumnRenamed("id", "v"), F.col("vertex") == F.col("v"), "left")
-    placed = placed.select("id", F.coalesce("component", "vertex").alias("component"))
+    placed = known.select("id", "own", "vertex").join(found.withColumnRenamed("id", "v"), F.col("vertex") == F.col("v"), "left")
+    return placed.select("id", "own", F.coalesce("component", "vertex").alias("component")), rows.where("id is null")
+
+
+def near_duplicates(docs: DataFrame, least: float = SIMILARITY, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """(id, class_id, class_size, kept): classes of documents that links of similarity ``least`` connect.
+
+    The similarity is the weighted one of five-word shingles: common occurrences over all. class_id is
+    the smallest id of the class, the document that is kept. Texts with the same shingles are one
+    vertex, so copies cost nothing more. A text without words is only in a class with equal texts; null
+    counts as empty. Rows that repeat an id count as documents of that id. Rows without id belong to no
+    class, and are kept. Ids are whole numbers.
+    Candidates come from BANDS keys of ROWS marks; every candidate pair that could join two classes is
+    verified on the whole sets.
+    """
+    placed, alone = _components(docs, least, id_column, text_column)
     classes = placed.groupBy("component").agg(F.min("id").alias("class_id"), F.count("*").alias("class_size"))
     placed = placed.join(classes, "component").select("id", "class_id", "class_size")
-    alone = rows.where("id is null").select("id", F.col("id").alias("class_id"), F.lit(1).cast("long").alias("class_size"))
-    out = placed.union(alone)
+    out = placed.union(alone.select("id", F.col("id").alias("class_id"), F.lit(1).cast("long").alias("class_size")))
     return out.select(F.col("id").alias(id_column), "class_id", "class_size", F.coalesce(F.col("id") == F.col("class_id"), F.lit(True)).alias("kept"))
 
 
 def keep_one(docs: DataFrame, least: float = SIMILARITY, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """One document of each class, columns as they were; of rows with one id the one with the smallest text hash."""
-    kept = near_duplicates(docs, least, id_column, text_column).where("kept").select(F.col(id_column).alias("_kept_id")).distinct()
-    joined = docs.join(kept, F.col(id_column) == F.col("_kept_id"), "left_semi")
-    order = Window.partitionBy(id_column).orderBy(F.xxhash64(F.col(text_column)))
-    name = "_kept_row"
-    return joined.withColumn(name, F.row_number().over(order)).where(F.col(name) == 1).drop(name).union(docs.where(F.col(id_column).isNull()))
+    """One row of each class, columns as they were: the one with the smallest id, of those the smallest text hash.
+
+    A class is one of rows, so a row whose id other rows share stays if its text is unlike theirs. Of
+    rows equal in id and text one stays, any of them. Rows without id stay.
+    """
+    placed, _ = _components(docs, least, id_column, text_column)
+    equal = placed.groupBy("component", "id", "own").agg(F.count("*").alias("n"))
+    chosen = cut_lineage(equal.groupBy("component").agg(F.min(F.struct("id", "own", "n")).alias("c")).select("c.id", "c.own", "c.n"))
+    name, own = free_name(docs, "chosen_id"), free_name(docs, "chosen_own")
+
+    def picked(rows: DataFrame) -> DataFrame:
+        rows = rows.select(F.col("id").alias(name), F.col("own").alias(own))
+        same = (F.col(id_column).cast("long") == F.col(name)) & (F.xxhash64(F.col(text_column).cast("string")) == F.col(own))
+        return docs.join(rows, same, "left_semi")
+
+    kept = picked(chosen.where("n = 1")).union(docs.where(F.col(id_column).isNull()))
+    repeated = chosen.where("n > 1")
+    if repeated.isEmpty():
+        return kept
+    some = picked(repeated).groupBy(F.col(id_column).alias(name), F.xxhash64(F.col(text_column).cast("string")).alias(own))
+    return kept.union(some.agg(F.first(F.struct(*[F.col(c) for c in docs.columns])).alias("row")).select("row.*"))

@@ -245,10 +245,26 @@ def test_near_duplicates_defined_results(odd_docs, no_docs):
     kept = dart_minhash.keep_one(odd_docs)
     assert kept.columns == odd_docs.columns
     names = [r.doc_id for r in kept.collect()]
-    assert sorted(n for n in names if n is not None) == sorted(set(want.values())) and names.count(None) == 2
+    assert sorted(n for n in names if n is not None) == kept_ids(rows) and names.count(None) == 2
+    clashing = odd_docs.withColumnsRenamed({"row": "chosen_id", "id": "chosen_own", "late": "component"})
+    assert dart_minhash.keep_one(clashing).columns == clashing.columns
     assert dart_minhash.near_duplicates(no_docs).count() == 0 and dart_minhash.keep_one(no_docs).count() == 0
 
 
+def kept_ids(rows, least=0.8):
+    """Ids of one row for each class, classes made of rows."""
+    apart = [((n, k), t) for k, (n, t) in enumerate(rows) if n is not None]
+    return sorted(n for n, _ in set(expected_classes(apart, least).values()))
+
+
+def test_a_row_whose_id_is_shared_keeps_its_own_text(spark):
+    a, b = sentence(3, 80), sentence(7, 70)
+    rows = [(3, a), (6, a), (6, b), (6, b), (9, b), (2, sentence(11, 60))]
+    for _ in range(2):
+        docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+        assert sorted((r.doc_id, r.text) for r in dart_minhash.keep_one(docs).collect()) == sorted({(3, a), (6, b), (2, rows[-1][1])})
+
+
 def test_signatures_estimate_the_weighted_similarity():
     texts = [" ".join(f"w{(k * j) % 97}" for j in range(1, 200 + 5 * k)) for k in range(1, 9)] + ["a b", "", "a b c d e f"]
     raw = [t.encode() for t in texts]
@@ -352,7 +368,7 @@ def test_pipeline_stages_against_brute_force(spark, few_docs):
             want = {n: t for n, _, d, t in expected_lines(before, 6, 0.8) if not d or t.strip()}
             assert after == {n: want[n] for n in want}
         elif name == "minhash":
-            assert sorted(after) == sorted(set(expected_classes(before).values()))
+            assert sorted(after) == kept_ids(before)
         else:
             want = {n: raw.decode("utf-8", "ignore") for n, _, gone, _, raw in expected_repeats(before, 50) if not gone or raw.decode("utf-8", "ignore").strip()}
             assert after == want

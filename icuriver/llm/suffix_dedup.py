@@ -26,8 +26,10 @@ MATCH = 50
 SEED = 16
 #: Windows of a run at most; longer ones are cut.
 RUN = 128
-#: Bits kept of a minimizer and of a run's digest.
-BITS = 40
+#: Bits kept of a minimizer. A run's digest has 64.
+BITS = 48
+#: Bytes of text for each part that runs are dealt to, about.
+PART_BYTES = 32 << 20
 
 
 def sliding_min(x: np.ndarray, width: int) -> np.ndarray:
@@ -63,7 +65,7 @@ def runs(data: np.ndarray, borders: np.ndarray, match: int, seed: int) -> tuple[
     length = np.minimum(np.repeat(end, pieces) - start, RUN)
     doc = np.searchsorted(borders, start, "right") - 1
     keep = np.uint64(64 - BITS)
-    return doc, start - borders[doc], length, low[start] >> keep, hashes.of(start, start + length + (match - 1)) >> keep
+    return doc, start - borders[doc], length, low[start] >> keep, hashes.of(start, start + length + (match - 1))
 
 
 def packed(docs: tuple[np.ndarray, np.ndarray], *columns: np.ndarray) -> bytes:
@@ -193,40 +195,55 @@ def _by_document(match: int):
         found: dict[int, list[tuple[np.ndarray, ...]]] = {_REMOVED: [], _WANTED: []}
         for batch in batches:
             for kind, payload in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                (row, _), (start, doc, length, *low) = unpacked(payload)
-                found[kind].append((row[doc.astype(np.int64)], start, length, *low))
-        out: dict[int, list] = {}
+                (row, name), (start, doc, length, *low) = unpacked(payload)
+                doc = doc.astype(np.int64)
+                found[kind].append((row[doc], name[doc], start, length, *low))
+        out: dict[tuple[int, int], list] = {}
         for kind, many in found.items():
             if not many:
                 continue
-            row, start, length, *low = (np.concatenate(c) for c in zip(*many, strict=True))
-            order = np.lexsort((start, row))
-            row, start, length = row[order], start[order].astype(np.int64), length[order].astype(np.int64)
-            cuts = np.flatnonzero(np.concatenate(([True], row[1:] != row[:-1])))
+            row, name, start, length, *low = (np.concatenate(c) for c in zip(*many, strict=True))
+            order = np.lexsort((start, name, row))
+            row, name, start, length = row[order], name[order], start[order].astype(np.int64), length[order].astype(np.int64)
+            cuts = np.flatnonzero(np.concatenate(([True], (row[1:] != row[:-1]) | (name[1:] != name[:-1]))))
             for a, b in zip(cuts.tolist(), np.append(cuts[1:], len(row)).tolist(), strict=True):
-                entry = out.setdefault(int(row[a]), [None, None])
+                entry = out.setdefault((int(row[a]), int(name[a])), [None, None])
                 if kind == _REMOVED:
                     entry[0] = np.concatenate(union_of(start[a:b], start[a:b] + length[a:b] + (match - 1))).tobytes()
                 else:
                     entry[1] = np.concatenate((start[a:b], length[a:b], low[0][order[a:b]].astype(np.int64))).tobytes()
-        columns = [pa.array(list(out), pa.int64()), *(pa.array([v[k] for v in out.values()], pa.binary()) for k in (0, 1))]
-        yield pa.RecordBatch.from_arrays(columns, ["row", "removed", "wanted"])
+        keys = [pa.array([key[k] for key in out], pa.int64()) for k in (0, 1)]
+        columns = [*keys, *(pa.array([v[k] for v in out.values()], pa.binary()) for k in (0, 1))]
+        yield pa.RecordBatch.from_arrays(columns, ["row", "id", "removed", "wanted"])
 
     return work
 
 
-def _wanted_texts(match: int, parts: int):
+def _wanted_texts(match: int, parts: int, row_at: int, id_at: int, text_at: int, wanted_at: int):
+    """Texts of the wanted runs, dealt by minimizer: for each part of a batch the places as records, and the bytes end to end."""
+
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for row, name, text, wanted in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                text = text.encode()
-                start, length, low = np.frombuffer(wanted, np.int64).reshape(3, -1)
-                for s, n, m in zip(start.tolist(), length.tolist(), low.tolist(), strict=True):
-                    out.append((m % parts, m, name, row, s, text[s : s + n + match - 1]))
-            columns = list(zip(*out, strict=True)) or [[]] * 6
-            kinds = [pa.int32(), *[pa.int64()] * 4, pa.binary()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["target", "low", "id", "row", "start", "text"])
+            row, name = batch.column(row_at).to_numpy(), batch.column(id_at).to_numpy()
+            data, borders = text_bytes(batch.column(text_at))
+            runs_of = [np.frombuffer(w, np.int64).reshape(3, -1) for w in batch.column(wanted_at).to_pylist()]
+            if not runs_of:
+                continue
+            doc = np.repeat(np.arange(len(runs_of)), [w.shape[1] for w in runs_of])
+            start, length, low = np.concatenate(runs_of, axis=1)
+            target, size = low % parts, length + match - 1
+            order = np.lexsort((low, target))
+            cuts = np.flatnonzero(np.diff(target[order], prepend=-1))
+            made: list[tuple[int, bytes, bytes]] = []
+            for a, b in zip(cuts.tolist(), np.append(cuts[1:], len(order)).tolist(), strict=True):
+                part = order[a:b]
+                used, local = np.unique(doc[part], return_inverse=True)
+                n = size[part]
+                at = np.repeat(borders[doc[part]] + start[part] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+                places = packed((row[used], name[used]), low[part].astype(np.uint64), local, start[part], n)
+                made.append((int(target[part[0]]), places, zstandard.ZstdCompressor(1).compress(data[at].tobytes())))
+            columns = list(zip(*made, strict=True)) or [[]] * 3
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.int32(), pa.binary(), pa.binary()), strict=True)], ["target", "places", "text"])
 
     return work
 
@@ -284,14 +301,20 @@ def earlier_copies(data: np.ndarray, borders: np.ndarray, value: np.ndarray, mat
 
 
 def _compare(match: int, parts: int):
+    """Later copies of strings among the wanted runs of a part's minimizers."""
+
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables = [b for b in batches if b.num_rows]
-        if not tables:
+        found = []
+        for batch in batches:
+            for places, text in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+                (row, name), (_, doc, start, size) = unpacked(places)
+                doc = doc.astype(np.int64)
+                raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(text), np.uint8)
+                found.append((row[doc], name[doc], start.astype(np.int64), size.astype(np.int64), raw))
+        if not found:
             return
-        name, row, start = (np.concatenate([b.column(k).to_numpy() for b in tables]) for k in (2, 3, 4))
-        parts_of = [text_bytes(b.column(5)) for b in tables]
-        data = np.concatenate([d for d, _ in parts_of])
-        borders = np.concatenate(([0], np.cumsum(np.concatenate([np.diff(e) for _, e in parts_of]))))
+        row, name, start, size, data = (np.concatenate(c) for c in zip(*found, strict=True))
+        borders = np.concatenate(([0], np.cumsum(size)))
         at = earlier_copies(data, borders, name, match)
         if len(at):
             text = np.searchsorted(borders, at, "right") - 1
@@ -305,23 +328,31 @@ def _compare(match: int, parts: int):
     return work
 
 
-def repeated_spans(docs: DataFrame, match: int = MATCH, id_column: str = "doc_id", text_column: str = "text") -> tuple[DataFrame, DataFrame]:
-    """Two frames (row, removed): starts and ends of byte intervals to remove; row is the hash of id and text."""
-    spark = prepare(docs.sparkSession)
-    parts, seed = parallelism(spark), min(SEED, match)
-    texts = docs.where(F.col(id_column).isNotNull()).select(
-        F.xxhash64(F.col(id_column).cast("long"), text_or_empty(text_column)).alias("row"), F.col(id_column).cast("long").alias("id"), text_or_empty(text_column).alias("text")
-    )
+def repeated_spans(keyed: DataFrame, row: str, number: str, match: int, id_column: str, text_column: str) -> DataFrame:
+    """(row, id, spans): starts and ends of the byte intervals to remove, one list or two for a document.
+
+    ``keyed`` has the columns named ``row``, a hash of id and text, and ``number``, the id or 0; none of
+    them is null, so that this and the caller's join read the texts through one and the same exchange.
+    """
+    spark = prepare(keyed.sparkSession)
+    texts = keyed.where(F.col(id_column).isNotNull()).select(F.col(row).alias("row"), F.col(number).alias("id"), text_or_empty(text_column).alias("text"))
+    size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    parts, seed = max(parallelism(spark), -(-size // PART_BYTES)), min(SEED, match)
 
     def dealt(df: DataFrame) -> DataFrame:
         return df.repartitionById(parts, F.col("target"))
 
+    by_document = returning(_by_document(match)), "row long, id long, removed binary, wanted binary"
     found = dealt(texts.mapInArrow(returning(_find_runs(match, seed, parts)), _SCHEMA)).mapInArrow(returning(_settle(parts)), _SCHEMA)
-    marks = cut_lineage(dealt(found).mapInArrow(returning(_by_document(match)), "row long, removed binary, wanted binary"))
-    wanted = texts.join(marks.where("wanted is not null").select("row", "wanted"), "row").select("row", "id", "text", "wanted")
-    pieces = wanted.mapInArrow(returning(_wanted_texts(match, parts)), "target int, low long, id long, `row` long, start long, text binary")
-    late = dealt(dealt(pieces).mapInArrow(returning(_compare(match, parts)), _SCHEMA)).mapInArrow(returning(_by_document(match)), "row long, removed binary, wanted binary")
-    return marks.where("removed is not null").select("row", "removed"), late.select("row", F.col("removed").alias("late"))
+    marks = cut_lineage(dealt(found).mapInArrow(*by_document))
+    own_row, own_number, runs_of = (free_name(keyed, n) for n in ("wanted_row", "wanted_number", "wanted_runs"))
+    some = marks.where("wanted is not null").select(F.col("row").alias(own_row), F.col("id").alias(own_number), F.col("wanted").alias(runs_of))
+    wanted = keyed.join(some, (F.col(row) == F.col(own_row)) & (F.col(number) == F.col(own_number)))
+    at = {c: k for k, c in enumerate(wanted.columns)}
+    pieces = wanted.mapInArrow(returning(_wanted_texts(match, parts, at[row], at[number], at[text_column], at[runs_of])), "target int, places binary, text binary")
+    late = dealt(dealt(pieces).mapInArrow(returning(_compare(match, parts)), _SCHEMA)).mapInArrow(*by_document)
+    spans = marks.where("removed is not null").select("row", "id", "removed").union(late.select("row", "id", "removed"))
+    return spans.groupBy("row", "id").agg(F.collect_list("removed").alias("spans"))
 
 
 def without_repeats(docs: DataFrame, match: int = MATCH, id_column: str = "doc_id", text_column: str = "text", as_text: bool = False) -> DataFrame:
@@ -331,16 +362,22 @@ def without_repeats(docs: DataFrame, match: int = MATCH, id_column: str = "doc_i
     smaller id, judged on the texts as given. kept is what is left, as bytes, or as text without the
     halves of signs at cuts. A null text counts as empty. Rows with one id do not remove each other's
     bytes; rows without id neither lose bytes nor cause losses. Ids are whole numbers.
+
+    Runs count as equal by 48 bits of their minimizer and 64 of their digest. Parts are so many that
+    each has about PART_BYTES of text.
     """
-    early, late = repeated_spans(docs, match, id_column, text_column)
     kept_type = "string" if as_text else "binary"
+    row, number, spans, out = (free_name(docs, n) for n in ("row", "number", "spans", "cut"))
+    own = F.col(id_column).cast("long")
+    keyed = docs.withColumns({row: F.xxhash64(own, text_or_empty(text_column)), number: F.coalesce(own, F.lit(0))})
+    marks = repeated_spans(keyed, row, number, match, id_column, text_column)
 
     @F.arrow_udf(f"n_bytes long, n_removed long, n_spans long, kept {kept_type}")
-    def cut(text: pa.Array, removed: pa.Array, later: pa.Array) -> pa.Array:
+    def cut(text: pa.Array, spans: pa.Array) -> pa.Array:
         out: list[list] = [[] for _ in range(4)]
-        for t, *spans in zip(text.to_pylist(), removed.to_pylist(), later.to_pylist(), strict=True):
-            raw, spans = (t or "").encode(), [np.frombuffer(s, np.int64).reshape(2, -1) for s in spans if s]
-            start, end = union_of(*np.concatenate(spans, axis=1)) if spans else (np.zeros(0, np.int64),) * 2
+        for t, found in zip(text.to_pylist(), spans.to_pylist(), strict=True):
+            raw, found = (t or "").encode(), [np.frombuffer(s, np.int64).reshape(2, -1) for s in found or ()]
+            start, end = union_of(*np.concatenate(found, axis=1)) if found else (np.zeros(0, np.int64),) * 2
             inner = zip([0, *end.tolist()], [*start.tolist(), len(raw)], strict=True)
             left = b"".join(raw[a:b] for a, b in inner)
             for column, value in zip(out, (len(raw), int((end - start).sum()), len(start), left.decode("utf-8", "ignore") if as_text else left), strict=True):
@@ -348,11 +385,7 @@ def without_repeats(docs: DataFrame, match: int = MATCH, id_column: str = "doc_i
         kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string() if as_text else pa.binary()]
         return pa.StructArray.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], ["n_bytes", "n_removed", "n_spans", "kept"])
 
-    row = free_name(docs, "row")
-    key = F.when(F.col(id_column).isNotNull(), F.xxhash64(F.col(id_column).cast("long"), text_or_empty(text_column)))
-    first, second, out = free_name(docs, "removed"), free_name(docs, "late"), free_name(docs, "cut")
-    early, late = early.toDF("_early_row", first), late.toDF("_late_row", second)
-    marked = docs.withColumn(row, key)
-    marked = marked.join(early, F.col(row) == F.col("_early_row"), "left").join(late, F.col(row) == F.col("_late_row"), "left")
-    marked = marked.withColumn(out, cut(F.col(text_column).cast("string"), F.col(first), F.col(second)))
+    own_row, own_number = free_name(keyed, "own_row"), free_name(keyed, "own_number")
+    marked = keyed.join(marks.toDF(own_row, own_number, spans), (F.col(row) == F.col(own_row)) & (F.col(number) == F.col(own_number)), "left")
+    marked = marked.withColumn(out, cut(F.col(text_column).cast("string"), F.col(spans)))
     return marked.select(*[F.col(c) for c in docs.columns], F.col(out))

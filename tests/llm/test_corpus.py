@@ -76,6 +76,8 @@ def test_repeats_defined_results(odd_docs, no_docs):
     assert out.columns[:-1] == odd_docs.columns
     got = sorted((_key(r.doc_id), r[-1].n_bytes, r[-1].n_removed, r[-1].n_spans, bytes(r[-1].kept)) for r in out.collect())
     assert got == expected_repeats(rows, 50)
+    clashing = odd_docs.withColumnsRenamed({"id": "number", "late": "own_row", "removed": "wanted_row", "lines": "spans", "score": "wanted_runs"})
+    assert suffix_dedup.without_repeats(clashing).columns[:-1] == clashing.columns
     assert suffix_dedup.without_repeats(no_docs).count() == 0
 
 

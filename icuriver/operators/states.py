@@ -30,7 +30,7 @@ def as_vectors(df: DataFrame, columns: Sequence[str], out: str = "features") ->
     return VectorAssembler(inputCols=list(columns), outputCol=out, handleInvalid="error").transform(df)
 
 
-def fit_kmeans(vectors: DataFrame, k: int, *, seed: int = 42, features: str = "features", max_iter: int = 20) -> KMeansModel:
+def fit_kmeans(vectors: DataFrame, k: int, *, seed: int = 42, features: str = "features", max_iter: int = 300) -> KMeansModel:
     """Parallel k-means++ start, fixed seed (F1). Cache ``vectors`` before the call."""
     return KMeans(k=k, seed=seed, initMode="k-means||", featuresCol=features, predictionCol="state", maxIter=max_iter).fit(vectors)
 

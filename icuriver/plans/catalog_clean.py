@@ -182,14 +182,43 @@ def d11(spark, sf):
     return rounded(reshape.attach_attributes(rows, people, ["c_acctbal", "c_mktsegment"]), *FEATURES)
 
 
-@query("d12_power_transform")
+def _yeo_johnson(v, lam):
+    up = f"CASE WHEN abs({lam}) < 1e-12 THEN ln(1 + {v}) ELSE (pow({v} + 1, {lam}) - 1) / {lam} END"
+    down = f"CASE WHEN abs(2 - {lam}) < 1e-12 THEN -ln(1 - {v}) ELSE -(pow(1 - {v}, 2 - {lam}) - 1) / (2 - {lam}) END"
+    return f"CASE WHEN {v} >= 0 THEN {up} ELSE {down} END"
+
+
+def _fitted_sql():
+    """The likeliest exponent of each feature on a grid that is refined around the best one twice."""
+    steps = transform.GRID_STEPS - 1
+    cells = {"cell": " UNION ALL ".join(f"SELECT '{f}' AS f, {f}::DOUBLE AS v FROM win WHERE {f} IS NOT NULL" for f in FEATURES)}
+    low, width = str(transform.GRID_LOW), transform.GRID_HIGH - transform.GRID_LOW
+    for n in range(transform.REFINEMENTS + 1):
+        of = "(SELECT DISTINCT f FROM cell)" if n == 0 else f"best{n - 1}"
+        cells[f"grid{n}"] = f"SELECT f, {low} + {width}::DOUBLE * i / {steps} AS lam FROM {of}, range({steps + 1}) t(i)"
+        cells[f"best{n}"] = f"""SELECT f, arg_max(lam, llf) AS lam FROM (SELECT f, lam, -count(*) / 2 * ln(var_pop({_yeo_johnson('v', 'lam')})) + (lam - 1) * sum(sign(v) * ln(1 + abs(v))) AS llf
+ FROM cell JOIN grid{n} USING (f) GROUP BY f, lam) GROUP BY f"""
+        low, width = f"lam - {width / steps}::DOUBLE", 2 * width / steps
+    last = f"best{transform.REFINEMENTS}"
+    cells["lams"] = "SELECT " + ", ".join(f"max(lam) FILTER (WHERE f = '{f}') AS {f}_l" for f in FEATURES) + f" FROM {last}"
+    made = {f: _yeo_johnson(f, f"{f}_l") for f in FEATURES}
+    cells["sk"] = "SELECT " + ", ".join(f"{_skew(f)} AS {f}_b, {_skew(f'({e})')} AS {f}_a" for f, e in made.items()) + " FROM win, lams"
+    out = ", ".join(f"round(CASE WHEN abs({f}_b) > abs({f}_a) THEN {e} ELSE {f} END, 5) AS {f}" for f, e in made.items())
+    return with_ctes(WINDOWS, f"SELECT {V}, {TS}, {out} FROM win, lams, sk", **cells)
+
+
+def _skew(x):
+    return f"(avg(pow({x}, 3)) - 3 * avg({x}) * avg(pow({x}, 2)) + 2 * pow(avg({x}), 3)) / pow(var_pop({x}), 1.5)"
+
+
+@query("d12_power_transform", _fitted_sql())
 def d12(spark, sf):
     # the windows are read in every round of the search
     rows = cut_lineage(windows(spark, sf))
-    return transform.reduce_skew(rows, columns=FEATURES)
+    return rounded(transform.reduce_skew(rows, columns=FEATURES).select(*KEY, *FEATURES), *FEATURES, digits=5)
 
 
-_LAMBDAS = {"click": 0.3, "error": 0.0, "view": 2.0}
+_LAMBDAS = {"click": 0.3, "error": 0.0, "purchase": 0.5, "signup": 1.5, "view": 2.0}
 
 
 def _power_sql(f, lam):
@@ -200,10 +229,6 @@ def _power_sql(f, lam):
 _POWER_CELLS = {f: _power_sql(f, lam) for f, lam in _LAMBDAS.items()}
 
 
-def _skew(x):
-    return f"(avg(pow({x}, 3)) - 3 * avg({x}) * avg(pow({x}, 2)) + 2 * pow(avg({x}), 3)) / pow(var_pop({x}), 1.5)"
-
-
 @query(
     "d12_power_transform_fixed",
     with_ctes(WINDOWS, f"SELECT {V}, {TS}, " + ", ".join(
@@ -401,15 +426,15 @@ def d23(spark, sf):
 
 @query(
     "d24_drop_sparse_columns",
-    with_ctes((), "SELECT visit_occurrence_id, day, " + round_sql("click", "view") + " FROM w",
-    w="""SELECT user_id AS visit_occurrence_id, date_trunc('day', ts) AS day, avg(value) FILTER (WHERE event_type = 'click') AS click,
-    avg(value) FILTER (WHERE event_type = 'view') AS view FROM events WHERE event_type IN ('click', 'view') GROUP BY 1, 2"""),
+    with_ctes((), "SELECT visit_occurrence_id, day, " + round_sql(*FEATURES) + " FROM w",
+    w="SELECT user_id AS visit_occurrence_id, date_trunc('day', ts) AS day, " + ", ".join(f"avg(value) FILTER (WHERE event_type = '{f}') AS {f}" for f in FEATURES)
+    + " FROM events GROUP BY 1, 2"),
 )
 def d24(spark, sf):
     days = long_events(spark, sf).withColumn("day", F.date_trunc("day", TS).cast("timestamp_ntz"))
-    wide = reshape.to_wide(days, ["click", "view", "no_such_event"], keys=(V, "day"))
-    kept, _ = clean.drop_sparse_columns(wide, 80)
-    return rounded(kept, "click", "view")
+    wide = reshape.to_wide(days, [*FEATURES, "no_such_event"], keys=(V, "day"))
+    kept, _ = clean.drop_sparse_columns(wide, 99.5)
+    return rounded(kept, *FEATURES)
 
 
 @query(

@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from icuriver.functions import concepts as C
-from icuriver.operators import actions, clean, mdp, ope, reshape, states, timejoin, trajectory
+from icuriver.operators import actions, clean, lloyd, mdp, ope, reshape, states, timejoin, trajectory
 from icuriver.plans.catalog_clean import windows
 from icuriver.plans.catalog_cohort import DOSES_ALL, doses
 from icuriver.plans.registry import query, round_sql, rounded
+from icuriver.session import cut_lineage
 from icuriver.plans.views import CLINICAL, DECISIONS, WINDOWS, clinical, decision_steps, table, with_ctes
 
 V, TS = "visit_occurrence_id", "measurement_datetime"
@@ -289,11 +290,30 @@ def wide_vectors(spark, sf, dims=_DIM):
     )
 
 
-@query("f1_kmeans_states")
+# clusters of the states, and the counts that are tried
+_STATES, _SIZES = 400, states.CLUSTER_SIZES
+
+
+def _lloyd_sql(sizes, body):
+    """Rounds from the rows of smallest md5, for all sizes at once, until no centre moves; ``fit`` has the last centres."""
+    return f"""WITH RECURSIVE vecs AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS x, row_number() OVER (ORDER BY md5(CAST(vec_id AS VARCHAR)), vec_id) AS place FROM embeddings),
+tol AS (SELECT {lloyd.TOLERANCE}::DOUBLE * avg(v) AS t FROM (SELECT i, var_pop(x[i]) AS v FROM vecs, range(1, {_DIM + 1}) p(i) GROUP BY i)),
+lloyd AS (SELECT 0 AS round, k, CAST(place - 1 AS INTEGER) AS state, x AS c, CAST('infinity' AS DOUBLE) AS shift
+ FROM vecs JOIN (SELECT unnest({list(sizes)}) AS k) ON place <= k AND k <= (SELECT count(*) FROM embeddings)
+ UNION ALL SELECT round + 1, k, state, c, sum(moved) OVER (PARTITION BY k) FROM (
+  SELECT l.round, l.k, l.state, coalesce(m.c, l.c) AS c, pow(list_distance(coalesce(m.c, l.c), l.c), 2) AS moved FROM lloyd l LEFT JOIN (
+   SELECT k, state, list(v ORDER BY i) AS c FROM (SELECT k, state, i, avg(x[i]) AS v FROM (
+    SELECT l.k, v.vec_id, any_value(v.x) AS x, arg_min(l.state, (list_distance(v.x, l.c), l.state)) AS state FROM vecs v, lloyd l WHERE l.shift > (SELECT t FROM tol) GROUP BY l.k, v.vec_id
+   ), range(1, {_DIM + 1}) p(i) GROUP BY k, state, i) GROUP BY k, state) m ON m.k = l.k AND m.state = l.state
+  WHERE l.shift > (SELECT t FROM tol) AND l.round < {lloyd.MAX_ROUNDS})),
+fit AS (SELECT k, state, c FROM lloyd QUALIFY round = max(round) OVER (PARTITION BY k)),
+near AS (SELECT k, vec_id, arg_min(state, (list_distance(x, c), state)) AS state, min(list_distance(x, c)) AS d FROM vecs, fit GROUP BY k, vec_id) {body}"""
+
+
+@query("f1_kmeans_states", _lloyd_sql([_STATES], "SELECT vec_id, state FROM near"))
 def f1(spark, sf):
-    vectors = states.array_vectors(table(spark, sf, "embeddings"), "embedding").cache()
-    model = states.fit_kmeans(vectors, 10)
-    return model.transform(vectors).select("vec_id", "state")
+    rows = cut_lineage(table(spark, sf, "embeddings").select("vec_id", "embedding"))
+    return states.assign_nearest(rows, lloyd.fit_states(rows, "embedding", "vec_id", _STATES), "embedding").select("vec_id", "state")
 
 
 @query("f2_assign_nearest_centre", with_ctes((), "SELECT vec_id, state FROM near", vecs=_VECTORS, cen=_centres_sql(10), near=_NEAREST))
@@ -302,13 +322,16 @@ def f2(spark, sf):
     return states.assign_nearest(rows, label_centres(spark, sf, 10), "embedding").select("vec_id", "state")
 
 
-@query("f3_cluster_count_sweep")
+@query(
+    "f3_cluster_count_sweep",
+    _lloyd_sql(_SIZES, f"""SELECT CAST(k AS INTEGER) AS cluster_size, round((k * {_DIM} + k) * ln(n) + wss, 6) AS bic, round(2 * (k * {_DIM} + k) + wss, 6) AS aic, round(wss, 6) AS wss
+ FROM (SELECT k, sum(d * d) AS wss, count(*) AS n FROM near GROUP BY k)"""),
+)
 def f3(spark, sf):
-    vectors = states.array_vectors(table(spark, sf, "embeddings"), "embedding").cache()
-    return states.evaluate_sizes(vectors, _DIM, sizes=(5, 10, 20))
+    return rounded(lloyd.sweep_sizes(table(spark, sf, "embeddings"), "embedding", "vec_id", _SIZES), "bic", "aic", "wss")
 
 
-_SWEEP = " UNION ALL ".join(f"SELECT {k} AS k, * FROM ({_centres_sql(k)})" for k in (2, 5, 10))
+_SWEEP = " UNION ALL ".join(f"SELECT {k} AS k, * FROM ({_centres_sql(k)})" for k in (2, 5, 10, 20))
 
 
 @query(
@@ -320,7 +343,7 @@ _SWEEP = " UNION ALL ".join(f"SELECT {k} AS k, * FROM ({_centres_sql(k)})" for k
 def f3_fixed(spark, sf):
     rows = table(spark, sf, "embeddings").select("embedding")
     costs = None
-    for k in (2, 5, 10):
+    for k in (2, 5, 10, 20):
         one = states.within_squares(rows, label_centres(spark, sf, k), "embedding").withColumn("cluster_size", F.lit(k))
         costs = one if costs is None else costs.unionByName(one)
     n = rows.agg(F.count(F.lit(1))).scalar()
@@ -336,11 +359,36 @@ def f4(spark, sf):
     return rounded(states.cluster_means(wide_vectors(spark, sf), names, "label"), *names)
 
 
-@query("f5_principal_components")
+_POWERS = 1500
+
+
+def _component(n):
+    """Largest eigenvector of the centred centres' products by powers, and the products without it."""
+    return {
+        f"p{n}": f"""SELECT 0 AS round, list_transform(range(1, len(m) + 1), lambda i: sin(i)) AS u FROM m{n}
+ UNION ALL SELECT round + 1, list_transform(w, lambda a: a / sqrt(list_inner_product(w, w))) FROM (SELECT round, list_transform(m, lambda r: list_inner_product(r, u)) AS w FROM p{n}, m{n} WHERE round < {_POWERS})""",
+        f"e{n}": f"SELECT u, list_inner_product(u, list_transform(m, lambda r: list_inner_product(r, u))) AS l FROM p{n}, m{n} WHERE round = {_POWERS}",
+        f"m{n + 1}": f"SELECT list_transform(m, lambda r, i: list_transform(r, lambda a, j: a - l * u[i] * u[j])) AS m FROM m{n}, e{n}",
+        f"s{n}": f"""SELECT arg_max(sign(w), abs(w)) AS s FROM (SELECT i, sum(x[i] * u[place]) AS w FROM cen, e{n}, range(1, {_DIM + 1}) p(i) GROUP BY i)""",
+    }
+
+
+_CENTRED = {
+    "mean": f"SELECT label, i, avg(CAST(embedding[i] AS DOUBLE)) AS v, count(*) AS size FROM embeddings, range(1, {_DIM + 1}) p(i) GROUP BY label, i",
+    "cen": "SELECT label, size, x, row_number() OVER (ORDER BY label) AS place FROM (SELECT label, any_value(size) AS size, list(c ORDER BY i) AS x FROM (SELECT *, v - avg(v) OVER (PARTITION BY i) AS c FROM mean) GROUP BY label)",
+    "m1": "SELECT list(r ORDER BY place) AS m FROM (SELECT a.place, list(list_inner_product(a.x, b.x) ORDER BY b.place) AS r FROM cen a, cen b GROUP BY a.place)",
+}
+
+
+@query(
+    "f5_principal_components",
+    with_ctes((), "SELECT label, size, " + ", ".join(f"round(s{n}.s * sqrt(e{n}.l) * e{n}.u[place], 6) AS pca_{n}" for n in (1, 2, 3)) + " FROM cen, e1, s1, e2, s2, e3, s3",
+              **_CENTRED, **_component(1), **_component(2), **_component(3)).replace("WITH ", "WITH RECURSIVE ", 1),
+)
 def f5(spark, sf):
     names = [f"x{i}" for i in range(_DIM)]
     centres = states.cluster_means(wide_vectors(spark, sf), names, "label")
-    return states.principal_components(centres, names, 3, keep=["label", "size"])
+    return rounded(states.principal_components(centres, names, 3, keep=["label", "size"]), "pca_1", "pca_2", "pca_3")
 
 
 @query(
@@ -388,7 +436,7 @@ def f8(spark, sf):
 @query("f9_embed_and_cluster")
 def f9(spark, sf):
     rows = wide_vectors(spark, sf).cache()
-    embedded, centres = states.embed_and_cluster(rows, [f"x{i}" for i in range(_DIM)], dims=8, k=10, keep=["vec_id"])
+    embedded, centres = states.embed_and_cluster(rows, [f"x{i}" for i in range(_DIM)], dims=8, k=_STATES, keep=["vec_id"])
     return embedded.select("vec_id", "embedding", "state")
 
 

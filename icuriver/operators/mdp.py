@@ -6,10 +6,12 @@ logged data, so the iterative operators run on the reduced tables only.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from icuriver.operators.actions import N_ACTIONS
+from icuriver.operators.stateblocks import MOST_STATES, Block, StateBlocks, Step
 from icuriver.operators.trajectory import TERMINAL
 from icuriver.session import broadcast_if_small, cut_lineage
 
@@ -81,18 +83,61 @@ def q_values(
     rate: float = 0.1,
     discount: float = 0.99,
     n_actions: int = N_ACTIONS,
+    tolerance: float | None = None,
     checkpoint_every: int = SWEEPS_PER_CHECKPOINT,
     cut_input: bool = True,
 ) -> DataFrame:
     """Synchronous expected Q updates over the empirical model (G5), rows (state, action, q).
 
-    Q <- Q + rate * (reward + discount * sum P * max Q(next) - Q), starting from zero;
-    a terminal next state is worth 0. Lineage is cut every few sweeps, and once before
-    them unless the model is already materialised (``cut_input=False``).
+    Q <- Q + rate * (reward + discount * sum P * max Q(next) - Q), starting from zero; a terminal next
+    state is worth 0. Since a Q-value is its reward and its next states' values, each weighted by age,
+    only the sum of values by age passes from sweep to sweep: one number a state. With ``tolerance`` the
+    sweeps end when no state's value changes by more. A model of more than MOST_STATES states is swept
+    by joins, its lineage cut every few sweeps and once before them unless it is already materialised
+    (``cut_input=False``).
     """
     mdp = mdp.select(*PAIR, "next_state", "probability", "expected_reward")
     if cut_input:
         mdp = cut_lineage(mdp)
+    if mdp.select("state").distinct().count() > MOST_STATES:
+        return _q_values_joined(mdp, sweeps, rate, discount, n_actions, checkpoint_every)
+
+    def pairs(block: Block, ahead: np.ndarray, sweep: int) -> tuple[np.ndarray, np.ndarray]:
+        known = np.where(block.columns["next_state"] == TERMINAL, 0.0, ahead[0][block.next])
+        worth = block.by_pair(block.columns["probability"] * known)
+        return block.columns["expected_reward"][block.pair] * (1 - (1 - rate) ** sweep) + rate * discount * worth, block.pair
+
+    def values(sweep: int) -> Step:
+        def step(block: Block, ahead: np.ndarray) -> dict[str, np.ndarray]:
+            q, _ = pairs(block, ahead, sweep)
+            best = np.maximum.reduceat(q, block.pairs_from)
+            unlisted = np.diff(np.append(block.pairs_from, len(q))) < n_actions
+            return {"state": block.columns["state"][block.state], "v": np.where(unlisted, np.maximum(best, 0), best)}
+
+        return step
+
+    def table(sweep: int) -> Step:
+        def step(block: Block, ahead: np.ndarray) -> dict[str, np.ndarray]:
+            q, at = pairs(block, ahead, sweep)
+            return {"state": block.columns["state"][at], "action": block.columns["action"][at], "q": q}
+
+        return step
+
+    blocks = StateBlocks(mdp, ["v"])
+    aged = last = np.zeros((1, len(blocks.states)))
+    done = 0
+    while done < sweeps:
+        # values before this sweep; before the first all are 0
+        now = blocks.step(values(done), aged) if done else last
+        if tolerance is not None and done > 1 and np.abs(now - last).max(initial=0) <= tolerance:
+            break
+        aged, last, done = (1 - rate) * aged + now, now, done + 1
+    kinds = {f.name: f.dataType for f in mdp.schema.fields}
+    out = blocks.run(table(done), aged, "state long, action long, q double")
+    return out.select(*[F.col(c).cast(kinds[c]) for c in PAIR], "q")
+
+
+def _q_values_joined(mdp: DataFrame, sweeps: int, rate: float, discount: float, n_actions: int, checkpoint_every: int) -> DataFrame:
     moves = mdp.where(F.col("next_state") != TERMINAL)
     q = mdp.select(*PAIR, "expected_reward").distinct().withColumn("q", F.lit(0.0))
     for sweep in range(1, sweeps + 1):
@@ -165,7 +210,8 @@ def policy_value(
 
     Starts uniformly over the model's states and stops when the chosen (state, action)
     is not in the model or the state is terminal. First and second moments obey the
-    same backward recursion, so no episode is sampled.
+    same backward recursion, so no episode is sampled. A step passes on two numbers a state; a model of
+    more than MOST_STATES states is stepped by joins.
     """
     mdp = mdp.select(*PAIR, "next_state", "probability", "expected_reward")
     if cut_input:
@@ -173,6 +219,26 @@ def policy_value(
     starts = mdp.select("state").distinct()
     taken = as_stochastic(policy).select(*PAIR, F.col("probability").alias("pi"))
     moves = cut_lineage(mdp.join(taken, PAIR))
+    if starts.count() > MOST_STATES:
+        return _policy_value_joined(moves, starts, steps, checkpoint_every)
+
+    def back(block: Block, ahead: np.ndarray) -> dict[str, np.ndarray]:
+        r, w = block.columns["expected_reward"], block.columns["pi"] * block.columns["probability"]
+        m1, m2 = ahead[:, block.next]
+        return {"state": block.columns["state"][block.state], "m1": block.by_state(w * (r + m1)), "m2": block.by_state(w * (r * r + 2 * r * m1 + m2))}
+
+    blocks = StateBlocks(moves, ["m1", "m2"], starts)
+    now = np.zeros((2, len(blocks.states)))
+    for _ in range(steps):
+        now = blocks.step(back, now)
+    spark = moves.sparkSession
+    if not len(blocks.states):
+        return spark.createDataFrame([(None, None)], "mean_return double, std_return double")
+    mean, second = now.mean(axis=1).tolist()
+    return spark.createDataFrame([(mean, float(np.sqrt(max(0.0, second - mean * mean))))], "mean_return double, std_return double")
+
+
+def _policy_value_joined(moves: DataFrame, starts: DataFrame, steps: int, checkpoint_every: int) -> DataFrame:
     none = F.lit(0.0)
     value = starts.select("state", none.alias("m1"), none.alias("m2"))
     r, w = F.col("expected_reward"), F.col("pi") * F.col("probability")

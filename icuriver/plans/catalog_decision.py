@@ -383,7 +383,7 @@ _CENTRED = {
 @query(
     "f5_principal_components",
     with_ctes((), "SELECT label, size, " + ", ".join(f"round(s{n}.s * sqrt(e{n}.l) * e{n}.u[place], 6) AS pca_{n}" for n in (1, 2, 3)) + " FROM cen, e1, s1, e2, s2, e3, s3",
-              **_CENTRED, **_component(1), **_component(2), **_component(3)).replace("WITH ", "WITH RECURSIVE ", 1),
+              **_CENTRED, **_component(1), **_component(2), **_component(3)),
 )
 def f5(spark, sf):
     names = [f"x{i}" for i in range(_DIM)]
@@ -469,16 +469,18 @@ def f10_board(spark, sf):
 
 # --- G ----------------------------------------------------------------------------------
 
-_SWEEPS, _RATE, _DISCOUNT, _HORIZON = 6, 0.1, 0.99, 6
+_SWEEPS, _RATE, _DISCOUNT, _HORIZON = 100, 0.1, 0.99, 100
 
 
 def _q_steps(n=_SWEEPS):
-    steps = {"q0": "SELECT DISTINCT state, action, expected_reward AS r, 0.0::DOUBLE AS q FROM mdp"}
-    for i in range(1, n + 1):
-        steps[f"v{i}"] = f"SELECT state, CASE WHEN count(*) < 9 THEN greatest(max(q), 0) ELSE max(q) END AS v FROM q{i - 1} GROUP BY 1"
-        steps[f"q{i}"] = f"""SELECT q.state, q.action, q.r, q.q + {_RATE}::DOUBLE * (q.r + {_DISCOUNT}::DOUBLE * coalesce(a.e, 0) - q.q) AS q FROM q{i - 1} q
- LEFT JOIN (SELECT m.state, m.action, sum(probability * v) AS e FROM mdp m JOIN v{i} v ON m.next_state = v.state GROUP BY 1, 2) a USING (state, action)"""
-    return steps | {"qt": f"SELECT state, action, q FROM q{n}"}
+    return {
+        "qr": f"""SELECT 0 AS round, state, action, r, 0.0::DOUBLE AS q FROM (SELECT DISTINCT state, action, expected_reward AS r FROM mdp)
+ UNION ALL SELECT round + 1, q.state, q.action, q.r, q.q + {_RATE}::DOUBLE * (q.r + {_DISCOUNT}::DOUBLE * coalesce(a.e, 0) - q.q) FROM qr q LEFT JOIN (
+  SELECT m.state, m.action, sum(probability * v) AS e FROM mdp m JOIN (
+   SELECT state, CASE WHEN count(*) < 9 THEN greatest(max(q), 0) ELSE max(q) END AS v FROM qr GROUP BY state) v ON m.next_state = v.state GROUP BY m.state, m.action
+  ) a ON a.state = q.state AND a.action = q.action WHERE round < {n}""",
+        "qt": f"SELECT state, action, q FROM qr WHERE round = {n}",
+    }
 
 
 _Q = _q_steps()
@@ -569,15 +571,14 @@ def g7_frequencies(spark, sf):
 
 
 def _value_steps(policy):
-    steps = {
+    return {
         "mv": f"SELECT m.*, p.pi FROM mdp m JOIN ({policy}) p USING (state, action)",
-        "u0": "SELECT DISTINCT state, 0.0::DOUBLE AS m1, 0.0::DOUBLE AS m2 FROM mdp",
+        "ur": f"""SELECT 0 AS round, state, 0.0::DOUBLE AS m1, 0.0::DOUBLE AS m2 FROM (SELECT DISTINCT state FROM mdp)
+ UNION ALL SELECT c.round + 1, mv.state, sum(pi * probability * (expected_reward + coalesce(u.m1, 0))),
+ sum(pi * probability * (pow(expected_reward, 2) + 2 * expected_reward * coalesce(u.m1, 0) + coalesce(u.m2, 0)))
+ FROM mv CROSS JOIN (SELECT DISTINCT round FROM ur WHERE round < {_HORIZON}) c LEFT JOIN ur u ON mv.next_state = u.state GROUP BY c.round, mv.state""",
+        f"u{_HORIZON}": f"SELECT state, m1, m2 FROM ur WHERE round = {_HORIZON}",
     }
-    for i in range(1, _HORIZON + 1):
-        steps[f"u{i}"] = f"""SELECT mv.state, sum(pi * probability * (expected_reward + coalesce(u.m1, 0))) AS m1,
- sum(pi * probability * (pow(expected_reward, 2) + 2 * expected_reward * coalesce(u.m1, 0) + coalesce(u.m2, 0))) AS m2
- FROM mv LEFT JOIN u{i - 1} u ON mv.next_state = u.state GROUP BY 1"""
-    return steps
 
 
 _VALUE_OUT = f"""SELECT round(avg(coalesce(m1, 0)), 6) AS mean_return, round(sqrt(avg(coalesce(m2, 0)) - pow(avg(coalesce(m1, 0)), 2)), 6) AS std_return

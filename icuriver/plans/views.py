@@ -10,6 +10,8 @@ with the tables. The SQL text of the same views feeds the checks.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -198,9 +200,10 @@ DECISIONS = ("steps", "rewarded", "transitions", "mdp", "policy")
 
 
 def with_ctes(names, body: str, **extra: str) -> str:
-    """A query over the named views, then any extra named steps."""
+    """A query over the named views, then any extra named steps, which may name themselves to recur."""
+    recurs = any(re.search(rf"\b(FROM|JOIN) {n}\b", q) for n, q in extra.items())
     parts = [f"{n} AS ({CTE[n]})" for n in names] + [f"{n} AS ({q})" for n, q in extra.items()]
-    return f"WITH {', '.join(parts)} {body}"
+    return f"WITH {'RECURSIVE ' * recurs}{', '.join(parts)} {body}"
 
 
 def long_events(spark: SparkSession, sf_dir: str) -> DataFrame:

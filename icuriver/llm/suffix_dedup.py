@@ -28,6 +28,8 @@ SEED = 16
 RUN = 128
 #: Bits kept of a minimizer. A run's digest has 64.
 BITS = 48
+#: Bytes of the text of runs that are compared at once, or all of one minimizer.
+COMPARED = 1 << 20
 #: Bytes of text for each part that runs are dealt to, about.
 PART_BYTES = 32 << 20
 
@@ -301,29 +303,46 @@ def earlier_copies(data: np.ndarray, borders: np.ndarray, value: np.ndarray, mat
 
 
 def _compare(match: int, parts: int):
-    """Later copies of strings among the wanted runs of a part's minimizers."""
+    """Later copies of strings among the wanted runs of a part's minimizers.
+
+    Equal strings lie in runs of one minimizer, so runs are compared in the order of their minimizers, about
+    COMPARED bytes of text at once; those of one minimizer stay together.
+    """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = []
         for batch in batches:
             for places, text in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                (row, name), (_, doc, start, size) = unpacked(places)
+                (row, name), (low, doc, start, size) = unpacked(places)
                 doc = doc.astype(np.int64)
                 raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(text), np.uint8)
-                found.append((row[doc], name[doc], start.astype(np.int64), size.astype(np.int64), raw))
+                found.append((low, row[doc], name[doc], start.astype(np.int64), size.astype(np.int64), raw))
         if not found:
             return
-        row, name, start, size, data = (np.concatenate(c) for c in zip(*found, strict=True))
-        borders = np.concatenate(([0], np.cumsum(size)))
-        at = earlier_copies(data, borders, name, match)
-        if len(at):
+        low, row, name, start, size, data = (np.concatenate(c) for c in zip(*found, strict=True))
+        del found
+        begin, order = np.cumsum(size) - size, np.argsort(low, kind="stable")
+        upto = np.cumsum(size[order])
+        ends = np.append(np.flatnonzero(np.diff(low[order])) + 1, len(order))  # where another minimizer begins
+        a = 0
+        while a < len(order):
+            done = upto[a - 1] if a else 0
+            b = int(ends[min(np.searchsorted(upto[ends - 1], done + COMPARED, "right"), len(ends) - 1)])
+            part, a = order[a:b], b
+            n = size[part]
+            own = data[np.repeat(begin[part] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
+            borders = np.concatenate(([0], np.cumsum(n)))
+            at = earlier_copies(own, borders, name[part], match)
+            if not len(at):
+                continue
             text = np.searchsorted(borders, at, "right") - 1
             new = np.ones(len(at), bool)
             new[1:] = (at[1:] != at[:-1] + 1) | (text[1:] != text[:-1])
             first = np.flatnonzero(new)
             length = np.diff(np.append(first, len(at)))
             text, place = text[first], (at - borders[text])[first]
-            yield _rows(_REMOVED, _by_target(row[text] % parts, (start[text] + place).astype(np.uint64), text, row, name, length))
+            run = part[text]
+            yield _rows(_REMOVED, _by_target(row[run] % parts, (start[run] + place).astype(np.uint64), run, row, name, length))
 
     return work
 

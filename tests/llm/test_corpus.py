@@ -62,7 +62,8 @@ def test_repeats_on_all_documents(few_docs):
 
 
 @pytest.mark.parametrize("match", [3, 8, 20])
-def test_repeats_of_short_strings_over_few_letters(spark, match):
+def test_repeats_of_short_strings_over_few_letters(spark, match, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "COMPARED", 100 * match)
     rng = np.random.default_rng(match)
     rows = [(int(k), "".join(rng.choice(list("ab"), int(rng.integers(0, 90))))) for k in rng.integers(0, 25, 40)]
     rows += [(30, "ab" * 400), (31, "ab" * 300 + "b"), (32, "a" * 700), (33, "a" * 500)]

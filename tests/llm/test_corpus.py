@@ -333,16 +333,52 @@ def test_vectors_of_all_tables_have_full_recall(spark):
     x /= np.sqrt((x**2).sum(axis=1))[:, None]
     want = {n: int(c) - 1 for (n, _), c in zip(rows, ((x @ x.T) >= 0.95).sum(axis=1), strict=True)}
     got = {r.vec_id: r.n_links for r in pq_dedup.near_vectors(frame).collect()}
-    assert sum(got.values()) >= 0.9 * sum(want.values()) and all(got[n] <= want[n] for n in want)
+    assert got == want
 
 
 def test_table_lookup_distances_bound_the_true_ones():
     x = pq_dedup.unit(np.random.default_rng(3).normal(size=(500, 16)))
     index = pq_dedup.Index.fit(x, 6, 0.95)
-    lists, codes, square, error = index.encode(x)
+    lists = pq_dedup.nearest(x, index.centres)
+    codes, square, error = index.encode(x, lists)
     back = index.centres[lists] + np.concatenate([index.books[m][codes[:, m]] for m in range(len(index.books))], axis=1)
     assert np.allclose(square, (back**2).sum(axis=1)) and np.allclose(error, np.sqrt(((x - back) ** 2).sum(axis=1)))
-    assert index.probes(x)[np.arange(500), lists].all()
+    assert index.probes(x, lists)[np.arange(500), lists].all()
+    past = index.beyond(x, lists, np.arange(len(index.centres)))
+    apart = np.sqrt(((x[:, None] - x[None]) ** 2).sum(axis=2))
+    assert (past[:, lists] + past[:, lists].T <= apart + 1e-9).all()
+
+
+def links_by_brute_force(x):
+    x = x / np.sqrt((x**2).sum(axis=1))[:, None]
+    links = (x @ x.T) >= 0.95
+    np.fill_diagonal(links, False)
+    forest = Forest(range(len(x)))
+    for a, b in zip(*np.nonzero(np.triu(links)), strict=True):
+        forest.join(int(a), int(b))
+    return [(int(links[k].sum()), forest.top(k)) for k in range(len(x))]
+
+
+@pytest.mark.parametrize("shape", ["main_axis", "circle", "copies"])
+def test_no_link_is_lost_whatever_the_shape(spark, shape, monkeypatch):
+    monkeypatch.setattr(pq_dedup, "PER_LIST", 60)
+    monkeypatch.setattr(pq_dedup, "LEAST_BLOCK", 256)
+    rng = np.random.default_rng(5)
+    if shape == "main_axis":  # copies shifted along the axis that sets the centres apart
+        base = rng.normal(size=(1200, 64)) * np.r_[6.0, np.full(63, 0.6)]
+        x = np.concatenate((base, base + np.outer(rng.uniform(-2.5, 2.5, len(base)), np.eye(64)[0])))
+    elif shape == "circle":
+        turn = rng.uniform(0, 2 * np.pi, 2500)
+        x = np.stack((np.cos(turn), np.sin(turn)), axis=1) @ rng.normal(size=(2, 64)) + rng.normal(size=(2500, 64)) * 0.05
+    else:  # a third of all rows is one vector, another third is near it
+        x = np.concatenate((np.tile(rng.normal(size=64), (1400, 1)), rng.normal(size=(700, 64))))
+        x[700:1400] += rng.normal(size=(700, 64)) * 0.1
+    x = x.astype(np.float32).astype(float)
+    frame = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in pq_dedup.near_vectors(frame).collect()}
+    want = links_by_brute_force(x)
+    assert sum(n for n, _ in want) > 500
+    assert [got[k] for k in range(len(x))] == want
 
 
 def test_no_vectors(spark):

@@ -4,7 +4,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from icuriver.functions.ordered import hot_keys, ordered_scan
+from icuriver.functions.ordered import _CHUNK, _cut, hot_keys, ordered_scan
 from icuriver.operators import impute, nearest, ope, reshape, trajectory
 
 
@@ -52,6 +52,25 @@ def test_chunked_scan_equals_plain_python(spark):
         assert got == want
 
 
+def test_a_stray_time_leaves_chunks_even(spark):
+    rows = [(1, i, 1.0) for i in range(4000)] + [(1, 10**12, 1.0), (1, -(10**12), 1.0)] + [(2, i, 1.0) for i in range(500)]
+    rows += [(3, 7, 1.0)] * 300 + [(4, 1, 1.0)]
+    df = spark.createDataFrame(rows, "k long, t long, v double")
+    cut = _cut(df, hot_keys(df, ["k"], "t", 100), ["k"], "t")
+    sizes = {}
+    for r in cut.groupBy("k", _CHUNK).agg(F.count("*").alias("n"), F.min("t").alias("lo"), F.max("t").alias("hi")).collect():
+        sizes.setdefault(r["k"], []).append((r["lo"], r["hi"], r[_CHUNK], r["n"]))
+    assert len(sizes[1]) >= 150 and max(n for *_, n in sizes[1]) <= 60  # 4002 rows in 161 chunks at most
+    assert 15 <= len(sizes[2]) <= 25 and max(n for *_, n in sizes[2]) <= 60
+    assert len(sizes[3]) == len(sizes[4]) == 1
+    for parts in sizes.values():  # later chunks hold later times
+        parts.sort()
+        assert all(a[1] < b[0] and a[2] < b[2] for a, b in zip(parts, parts[1:]))
+    got = {r["t"]: (r["rn"], r["total"]) for r in _scan(df.where("k = 1"), 100).collect()}
+    want = sorted(r[1] for r in rows if r[0] == 1)
+    assert got == {t: (n + 1, n + 1.0) for n, t in enumerate(want)}
+
+
 def test_operators_agree_on_a_hot_visit(spark):
     df = spark.createDataFrame(_rows(3), "visit_occurrence_id long, t long, v double").withColumn(
         "measurement_datetime", F.timestamp_add("HOUR", F.col("t"), F.lit("2024-01-01").cast("timestamp_ntz"))

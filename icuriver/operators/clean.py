@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -39,7 +41,7 @@ def drop_outliers_long(
     name, x = F.col(feature), F.col(value).cast("double")
     listed = F.coalesce(name.isin(list(features)), F.lit(False))
     rows = df.where(listed)
-    quartiles = quantile_lookup(rows, name, x, [0.25, 0.75, 0.01, 0.99])
+    quartiles = quantile_lookup(rows, name, x, [0.25, 0.75, 0.01, 0.99] if fallback else [0.25, 0.75])
     out = df.withColumn("_q", F.element_at(quartiles, name))
     low, high = _bounds(F.col("_q"))
     if fallback:
@@ -186,13 +188,15 @@ def round_binary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def correlation(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Pairwise complete correlation of all columns, long."""
+    """Pairwise complete correlation of all columns, long (D26). NULL where one is constant."""
     columns = list(columns)
     cells = []
     for i, a in enumerate(columns):
         for b in columns[i:]:
             both = F.col(a).isNotNull() & F.col(b).isNotNull()
-            r = F.corr(F.when(both, F.col(a)), F.when(both, F.col(b)))
+            x, y = F.when(both, F.col(a)), F.when(both, F.col(b))
+            # the built-in correlation ends the query where a column is constant
+            r = F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
             r = F.when(~F.isnan(r), r)
             cells.append(F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), r.alias("r")))
     upper = df.agg(F.array(*cells).alias("m")).select(F.inline("m"))
@@ -205,6 +209,47 @@ def correlation(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
+def correlation_of_many(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Pairwise complete correlation of many columns, long (D26), by block products.
+
+    Each task multiplies its rows' matrices of values, squares and presence, and passes on six sums a
+    pair; Spark adds them up. Columns are shifted by their means first (one row to the driver), which
+    keeps the sums small. NaN and infinite values count as missing. NULL where fewer than two rows have
+    both, or where one of them does not vary beyond rounding.
+    """
+    columns = list(columns)
+    finite = {c: F.when(F.abs(F.col(c).cast("double")) < float("inf"), F.col(c).cast("double")) for c in columns}
+    values = df.select(*[F.when(~F.isnan(x), x).alias(f"c{i}") for i, x in enumerate(finite.values())])
+    means = values.agg(*[F.avg(c) for c in values.columns]).first()
+    shift = np.array([m or 0.0 for m in means])
+    first, second = np.triu_indices(len(columns))
+
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((6, len(columns), len(columns)))
+        for batch in batches:
+            x = np.stack([c.to_numpy(zero_copy_only=False).astype(float) for c in batch.columns], axis=1)
+            has = ~np.isnan(x)
+            x, m = np.where(has, x - shift, 0.0), has.astype(float)
+            # rows with both; sums and sums of squares of either where the other is there; products
+            total += np.stack([m.T @ m, x.T @ m, m.T @ x, (x * x).T @ m, m.T @ (x * x), x.T @ x])
+        cells = [pa.array(first, pa.int32()), pa.array(second, pa.int32()), *[pa.array(t[first, second]) for t in total]]
+        yield pa.RecordBatch.from_arrays(cells, ["i", "j", "n", "x", "y", "xx", "yy", "xy"])
+
+    # a row without values adds nothing, but gives an empty table its pairs
+    nothing = df.sparkSession.range(1).select(*[F.lit(None).cast("double").alias(c) for c in values.columns])
+    parts = values.union(nothing).mapInArrow(sums, "i int, j int, n double, x double, y double, xx double, yy double, xy double")
+    added = parts.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ("n", "x", "y", "xx", "yy", "xy")])
+    spread = {"vx": "xx - x * x / nullif(n, 0)", "vy": "yy - y * y / nullif(n, 0)", "c": "xy - x * y / nullif(n, 0)"}
+    names = F.array(*[F.lit(c) for c in columns])
+    tiny = F.array(*[F.lit(float(1e-28 * s * s)) for s in shift])
+    varies = (F.col("vx") > F.col("n") * F.get(tiny, F.col("i"))) & (F.col("vy") > F.col("n") * F.get(tiny, F.col("j")))
+    r = F.when((F.col("n") > 1) & varies, F.greatest(F.lit(-1.0), F.least(F.lit(1.0), F.expr("c / sqrt(vx) / sqrt(vy)"))))
+    upper = added.withColumns({k: F.expr(e) for k, e in spread.items()}).select("i", "j", r.alias("correlation"))
+    ends = F.array_distinct(F.array(F.struct(F.col("i").alias("a"), F.col("j").alias("b")), F.struct(F.col("j").alias("a"), F.col("i").alias("b"))))
+    both = upper.select(F.explode(ends).alias("p"), "correlation")
+    return both.select(F.get(names, F.col("p.a")).alias("feature_a"), F.get(names, F.col("p.b")).alias("feature_b"), "correlation")
+
+
 def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Count, mean, deviation, minimum, quartiles and maximum per column, exact."""
     cells = [

@@ -11,7 +11,8 @@ from icuriver.plans.views import (
     CLINICAL, CLINICAL_FEATURES, FEATURES, WINDOWS, clinical, long_events, table, with_ctes,
 )
 from icuriver.plans.catalog_cohort import _COHORT_STEPS, _MEASURED, cohort_of, dictionary, measured, narrowed
-from icuriver.session import cut_lineage
+from icuriver.session import cut_lineage, shared_folder
+from icuriver.sources import sinks
 from icuriver.sources.tables import restrict_to
 
 V, TS = "visit_occurrence_id", "measurement_datetime"
@@ -455,6 +456,23 @@ def d26(spark, sf):
     return rounded(clean.correlation(windows(spark, sf), FEATURES), "correlation")
 
 
+_DIMS = 64
+
+
+@query(
+    "d26_correlation_of_many",
+    f"""WITH e AS (SELECT vec_id, CAST(embedding[i] AS DOUBLE) AS x, i - 1 AS i FROM embeddings, unnest(range(1, {_DIMS + 1})) AS t(i)),
+    g AS (SELECT * FROM e WHERE x > -0.2)
+    SELECT 'x' || a.i AS feature_a, 'x' || b.i AS feature_b, round(corr(a.x, b.x), 6) AS correlation
+    FROM g a JOIN g b USING (vec_id) GROUP BY 1, 2""",
+)
+def d26_of_many(spark, sf):
+    # components below -0.2 are the gaps
+    x = [F.get("embedding", F.lit(i)).cast("double") for i in range(_DIMS)]
+    wide = table(spark, sf, "embeddings").select(*[F.when(c > -0.2, c).alias(f"x{i}") for i, c in enumerate(x)])
+    return rounded(clean.correlation_of_many(wide, wide.columns), "correlation")
+
+
 _DESCRIBED = ["l_quantity", "l_extendedprice", "l_discount"]
 
 
@@ -469,6 +487,33 @@ def d27(spark, sf):
     return rounded(clean.describe(table(spark, sf, "lineitem"), _DESCRIBED), "mean", "std", "q25", "q50", "q75")
 
 
+@query(
+    "a5_gap_report_csv",
+    with_ctes(WINDOWS, " UNION ALL ".join(
+        f"SELECT '{f}' AS \"column\", round(avg(CASE WHEN {f} IS NULL THEN 100.0 ELSE 0 END), 6) AS missing_pct FROM win" for f in FEATURES)),
+)
+def a5(spark, sf):
+    """The share of gaps of each feature, written as CSV twice over and read back."""
+    path, report = shared_folder(spark), rounded(clean.missing_report(windows(spark, sf), FEATURES), "missing_pct")
+    for _ in range(2):
+        sinks.write_committed(report, path, "csv", header="true")
+    return sinks.read_committed(spark, path, "csv", "column string, missing_pct double", header="true")
+
+
+@query(
+    "a6_metrics_json",
+    """SELECT event_type, count(*) AS n, round(avg(value), 6) AS mean, min(value) AS low, max(value) AS high FROM events GROUP BY 1""",
+)
+def a6(spark, sf):
+    """Metrics of each event type, written as JSON and read back."""
+    path = shared_folder(spark)
+    metrics = table(spark, sf, "events").groupBy("event_type").agg(
+        F.count("*").alias("n"), F.avg("value").alias("mean"), F.min("value").alias("low"), F.max("value").alias("high")
+    )
+    sinks.write_committed(rounded(metrics, "mean"), path, "json")
+    return sinks.read_committed(spark, path, "json", "event_type string, n bigint, mean double, low double, high double")
+
+
 @query(
     "d28_non_null_cells",
     with_ctes(WINDOWS, f"SELECT CAST(count({V}) + count({TS}) + {' + '.join(f'count({f})' for f in FEATURES)} AS BIGINT) AS cells FROM win"),

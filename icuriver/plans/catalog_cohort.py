@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import functools
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from icuriver.functions import concepts as C
@@ -10,8 +13,8 @@ from icuriver.plans.registry import query, round_sql, rounded
 from icuriver.plans.views import (
     CLINICAL, CLINICAL_FEATURES, DICTIONARY_SQL, clinical, exposures, table, with_ctes,
 )
-from icuriver.session import cut_lineage
-from icuriver.sources import tables
+from icuriver.session import cut_lineage, shared_folder
+from icuriver.sources import sinks, tables
 
 AS_OF = "2024-01-04 00:00:00"
 V = "visit_occurrence_id"
@@ -32,6 +35,32 @@ def a1(spark, sf):
     return tables.read_table(spark, f"{sf}/orders.parquet", ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice"])
 
 
+_COUNTED = {
+    "measurement": "visit_occurrence_id", "observation": "visit_occurrence_id", "visit_occurrence": "person_id",
+    "person": "person_id", "concept": "concept_id", "condition_occurrence": "visit_occurrence_id",
+    "drug_exposure": "visit_occurrence_id", "death": "person_id",
+}
+
+
+@query(
+    "a1_all_clinical_tables",
+    with_ctes(CLINICAL, " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, count(*) AS n_rows, count(DISTINCT {k}) AS n_keys FROM {t}" for t, k in _COUNTED.items())),
+)
+def a1_all(spark, sf):
+    """The eight tables written to one folder and scanned from there."""
+    folder = shared_folder(spark)
+    for name, df in clinical(spark, sf).items():
+        if name in tables.CLINICAL_TABLES:
+            sinks.write_parquet(df, f"{folder}/{name}.parquet")
+    read = tables.read_clinical(spark, folder)
+    counts = [
+        read[t].agg(F.lit(t).alias("table_name"), F.count("*").alias("n_rows"), F.countDistinct(k).alias("n_keys"))
+        for t, k in _COUNTED.items()
+    ]
+    return functools.reduce(DataFrame.union, counts)
+
+
 @query("a2_all_admissions", with_ctes(CLINICAL, "SELECT * FROM visit_occurrence"))
 def a2(spark, sf):
     return tables.all_admissions(clinical(spark, sf)["visit_occurrence"])

@@ -134,3 +134,19 @@ def test_power_transform_beyond_the_first_bracket(spark):
         best = grid[np.argmax([_llf(values, g) for g in grid])]
         assert not -2 <= best <= 4
         assert fitted[name] == pytest.approx(best, abs=1e-2)
+
+
+def test_correlation_of_many_equals_that_of_pairs(spark):
+    rows = [(float(i), 1e6 + (i * i) % 17, None if i % 3 else float(-i), 0.1, float("nan") if i % 2 else 2.0 * i, None) for i in range(60)]
+    df = spark.createDataFrame(rows, "a double, b double, c double, d double, e double, f double").repartition(5)
+    got = {(r[0], r[1]): r[2] for r in clean.correlation_of_many(df, df.columns).collect()}
+    plain = df.replace(float("nan"), None)
+    want = {(r[0], r[1]): r[2] for r in clean.correlation(plain, plain.columns).collect()}
+    assert got.keys() == want.keys() and len(got) == 36
+    for pair, r in want.items():
+        if "d" in pair or "f" in pair:  # constant, or nothing there
+            assert got[pair] is None
+        else:
+            assert abs(got[pair] - r) < 1e-9
+    none = clean.correlation_of_many(df.limit(0), ["a", "b"]).collect()
+    assert len(none) == 4 and all(r[2] is None for r in none)

@@ -1,4 +1,5 @@
 import datetime as dt
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -213,3 +214,24 @@ def test_sources_and_sinks(spark, tmp_path):
         '0,0,0.5,2025-01-01 00:00:00,2025-01-01 00:01:00,0 days,64,8,"[64, 32]",0.001,COMPLETE\n'
     )
     assert tables.read_trials(spark, str(trials)).first()["params_layer_sizes"] == "[64, 32]"
+
+
+def test_a_broken_run_leaves_the_committed_table(spark, tmp_path):
+    path = f"file://{tmp_path}/metrics"
+    with pytest.raises(FileNotFoundError):
+        sinks.read_committed(spark, path)
+    first = spark.range(3).withColumn("x", F.lit("a"))
+    sinks.write_committed(first, path)
+    bad = spark.range(8).withColumn("x", F.when(F.col("id") == 5, F.raise_error(F.lit("lost"))).otherwise("b"))
+    for _ in range(2):
+        with pytest.raises(Exception, match="lost"):
+            sinks.write_committed(bad, path)
+        assert as_set(sinks.read_committed(spark, path), "id", "x") == [(0, "a"), (1, "a"), (2, "a")]
+    # the next run may read what it replaces, and what broken runs left goes with it
+    for n in (4, 5):
+        more = sinks.read_committed(spark, path).union(spark.createDataFrame([(n, "c")], "id long, x string"))
+        sinks.write_committed(more, path)
+    assert as_set(sinks.read_committed(spark, path), "id", "x") == [(0, "a"), (1, "a"), (2, "a"), (4, "c"), (5, "c")]
+    assert len([p for p in os.listdir(tmp_path / "metrics") if p.startswith("run-")]) == 1
+    sinks.write_committed(first.limit(0), path)
+    assert sinks.read_committed(spark, path, schema="id long, x string").count() == 0

@@ -456,19 +456,19 @@ def d26(spark, sf):
     return rounded(clean.correlation(windows(spark, sf), FEATURES), "correlation")
 
 
-_DIMS = 64
+_COMPONENTS = 64
 
 
 @query(
     "d26_correlation_of_many",
-    f"""WITH e AS (SELECT vec_id, CAST(embedding[i] AS DOUBLE) AS x, i - 1 AS i FROM embeddings, unnest(range(1, {_DIMS + 1})) AS t(i)),
+    f"""WITH e AS (SELECT vec_id, CAST(embedding[i] AS DOUBLE) AS x, i - 1 AS i FROM embeddings, unnest(range(1, {_COMPONENTS + 1})) AS t(i)),
     g AS (SELECT * FROM e WHERE x > -0.2)
     SELECT 'x' || a.i AS feature_a, 'x' || b.i AS feature_b, round(corr(a.x, b.x), 6) AS correlation
     FROM g a JOIN g b USING (vec_id) GROUP BY 1, 2""",
 )
 def d26_of_many(spark, sf):
     # components below -0.2 are the gaps
-    x = [F.get("embedding", F.lit(i)).cast("double") for i in range(_DIMS)]
+    x = [F.get("embedding", F.lit(i)).cast("double") for i in range(_COMPONENTS)]
     wide = table(spark, sf, "embeddings").select(*[F.when(c > -0.2, c).alias(f"x{i}") for i, c in enumerate(x)])
     return rounded(clean.correlation_of_many(wide, wide.columns), "correlation")
 

@@ -355,10 +355,8 @@ _HOLED = "SELECT vec_id, " + ", ".join(
 
 def holed(spark, sf):
     """All embedding dimensions with every fourth cell missing."""
-    cells = [
-        F.when((F.col("vec_id") + i) % 4 != 0, F.col("embedding")[i].cast("double")).alias(f"x{i}") for i in range(64)
-    ]
-    return table(spark, sf, "embeddings").select("vec_id", *cells)
+    cells = [f"CASE WHEN (vec_id + {i}) % 4 <> 0 THEN CAST(embedding[{i}] AS DOUBLE) END AS x{i}" for i in range(64)]
+    return table(spark, sf, "embeddings").selectExpr("vec_id", *cells)
 
 
 def _knn_sql(queries, donors, k, columns, key, within=None):

@@ -211,6 +211,38 @@ def test_near_edits_are_found_and_verified(spark):
         assert d == edit_fingerprint.edit_distance(texts[a], texts[b]) <= 0.1 * max(len(texts[a]), len(texts[b]))
 
 
+@pytest.mark.parametrize("kind", ["replaced", "inserted", "deleted"])
+def test_near_edits_recall_at_the_limit(spark, kind):
+    """Edits of almost one character in fifty at even random places, against the distances of all pairs."""
+    rng = np.random.default_rng(["replaced", "inserted", "deleted"].index(kind))
+    texts = []
+    for k in range(30):
+        words = ["".join(rng.choice(list("etaoinshrdlu"), int(rng.integers(2, 9)))) for _ in range(int(rng.integers(40, 400)))]
+        text = " ".join(words)
+        edited = list(text)
+        for _ in range(len(text) // 51):
+            at = int(rng.integers(0, len(edited)))
+            edited[at : at + (kind != "inserted")] = [] if kind == "deleted" else ["#"]
+        texts += [text, "".join(edited)]
+    pairs = set()
+    for a, x in enumerate(texts):
+        for b in range(a + 1, len(texts)):
+            if abs(len(x) - len(texts[b])) <= 0.02 * max(len(x), len(texts[b])) and edit_fingerprint.edit_distance(x, texts[b]) <= 0.02 * max(len(x), len(texts[b])):
+                pairs.add((a, b))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {(r.a, r.b) for r in edit_fingerprint.near_edits(docs).collect()}
+    assert len(pairs) == 30 and got <= pairs and len(got) >= 0.9 * len(pairs)
+
+
+def test_near_edits_of_empty_tables_copies_and_equal_ids(spark):
+    schema = "doc_id long, text string, vertex string, keys string"
+    assert edit_fingerprint.near_edits(spark.createDataFrame([], schema)).count() == 0
+    text = " ".join(f"word{k * k % 97}" for k in range(60))
+    rows = [(k, text, "x", "y") for k in (7, 3, 3, 9)] + [(k, text[:-1] + "!", None, None) for k in (5, 8)] + [(11, "", "", ""), (12, None, "", "")]
+    got = edit_fingerprint.near_edits(spark.createDataFrame(rows, schema)).collect()
+    assert [tuple(r) for r in got] == [(3, 5, 1)]
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.text("abc", max_size=12), st.text("abc", max_size=12))
 def test_edit_distance(a, b):

@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from icuriver.functions import concepts as C
-from icuriver.operators import actions, clean, lloyd, mdp, ope, reshape, states, timejoin, trajectory
-from icuriver.plans.catalog_clean import windows
+from icuriver.operators import actions, clean, lloyd, mdp, ope, policy_run, reshape, states, timejoin, trajectory
+from icuriver.plans.catalog_clean import _FILLED, _GAPS, _POSITIONS, _PRESENT, _fill_steps, windows
 from icuriver.plans.catalog_cohort import DOSES_ALL, doses
 from icuriver.plans.registry import query, round_sql, rounded
 from icuriver.session import cut_lineage
-from icuriver.plans.views import CLINICAL, DECISIONS, WINDOWS, clinical, decision_steps, table, with_ctes
+from icuriver.plans.views import CLINICAL, CTE, DECISIONS, FEATURES, WINDOWS, clinical, decision_steps, table, with_ctes
 
 V, TS = "visit_occurrence_id", "measurement_datetime"
 
@@ -294,20 +294,29 @@ def wide_vectors(spark, sf, dims=_DIM):
 _STATES, _SIZES = 400, states.CLUSTER_SIZES
 
 
-def _lloyd_sql(sizes, body):
+_KEYED = "SELECT vec_id, CAST(embedding AS DOUBLE[]) AS x, row_number() OVER (ORDER BY md5(CAST(vec_id AS VARCHAR)), vec_id) AS place FROM embeddings"
+
+
+def _lloyd_steps(sizes, vectors=_KEYED, dims=_DIM):
     """Rounds from the rows of smallest md5, for all sizes at once, until no centre moves; ``fit`` has the last centres."""
-    return f"""WITH RECURSIVE vecs AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS x, row_number() OVER (ORDER BY md5(CAST(vec_id AS VARCHAR)), vec_id) AS place FROM embeddings),
-tol AS (SELECT {lloyd.TOLERANCE}::DOUBLE * avg(v) AS t FROM (SELECT i, var_pop(x[i]) AS v FROM vecs, range(1, {_DIM + 1}) p(i) GROUP BY i)),
-lloyd AS (SELECT 0 AS round, k, CAST(place - 1 AS INTEGER) AS state, x AS c, CAST('infinity' AS DOUBLE) AS shift
- FROM vecs JOIN (SELECT unnest({list(sizes)}) AS k) ON place <= k AND k <= (SELECT count(*) FROM embeddings)
+    return {
+        "vecs": vectors,
+        "tol": f"SELECT {lloyd.TOLERANCE}::DOUBLE * avg(v) AS t FROM (SELECT i, var_pop(x[i]) AS v FROM vecs, range(1, {dims + 1}) p(i) GROUP BY i)",
+        "lloyd": f"""SELECT 0 AS round, k, CAST(place - 1 AS INTEGER) AS state, x AS c, CAST('infinity' AS DOUBLE) AS shift
+ FROM vecs JOIN (SELECT unnest({list(sizes)}) AS k) ON place <= k AND k <= (SELECT count(*) FROM vecs)
  UNION ALL SELECT round + 1, k, state, c, sum(moved) OVER (PARTITION BY k) FROM (
   SELECT l.round, l.k, l.state, coalesce(m.c, l.c) AS c, pow(list_distance(coalesce(m.c, l.c), l.c), 2) AS moved FROM lloyd l LEFT JOIN (
    SELECT k, state, list(v ORDER BY i) AS c FROM (SELECT k, state, i, avg(x[i]) AS v FROM (
     SELECT l.k, v.vec_id, any_value(v.x) AS x, arg_min(l.state, (list_distance(v.x, l.c), l.state)) AS state FROM vecs v, lloyd l WHERE l.shift > (SELECT t FROM tol) GROUP BY l.k, v.vec_id
-   ), range(1, {_DIM + 1}) p(i) GROUP BY k, state, i) GROUP BY k, state) m ON m.k = l.k AND m.state = l.state
-  WHERE l.shift > (SELECT t FROM tol) AND l.round < {lloyd.MAX_ROUNDS})),
-fit AS (SELECT k, state, c FROM lloyd QUALIFY round = max(round) OVER (PARTITION BY k)),
-near AS (SELECT k, vec_id, arg_min(state, (list_distance(x, c), state)) AS state, min(list_distance(x, c)) AS d FROM vecs, fit GROUP BY k, vec_id) {body}"""
+   ), range(1, {dims + 1}) p(i) GROUP BY k, state, i) GROUP BY k, state) m ON m.k = l.k AND m.state = l.state
+  WHERE l.shift > (SELECT t FROM tol) AND l.round < {lloyd.MAX_ROUNDS})""",
+        "fit": "SELECT k, state, c FROM lloyd QUALIFY round = max(round) OVER (PARTITION BY k)",
+        "near": "SELECT k, vec_id, arg_min(state, (list_distance(x, c), state)) AS state, min(list_distance(x, c)) AS d FROM vecs, fit GROUP BY k, vec_id",
+    }
+
+
+def _lloyd_sql(sizes, body):
+    return with_ctes((), body, **_lloyd_steps(sizes))
 
 
 @query("f1_kmeans_states", _lloyd_sql([_STATES], "SELECT vec_id, state FROM near"))
@@ -686,3 +695,78 @@ def g14(spark, sf):
 def g15(spark, sf):
     logged, policy, q = evaluation(spark, sf)
     return rounded(ope.doubly_robust(logged, policy, q, discount=_GAMMA), "estimate", digits=4)
+
+
+# --- one run, fitted on the training visits, evaluated on the others -----------------------
+
+_SCALED = ", ".join(
+    f"coalesce(({f} - (SELECT avg({f}) FROM kept WHERE split = 'train')) / (SELECT coalesce(nullif(stddev_pop({f}), 0), 1) FROM kept WHERE split = 'train'), 0)"
+    for f in FEATURES
+)
+_WINDOW_KEY = f"{V} || ':' || CAST(CAST(epoch({TS}) AS BIGINT) AS VARCHAR)"
+_RUN_STEPS = _AMOUNTS | {
+    "sp": f"""SELECT {V}, CASE WHEN place <= n - ceil(n * 0.4::DOUBLE) THEN 'train' WHEN place <= n - ceil(ceil(n * 0.4::DOUBLE) * 0.5) THEN 'validation' ELSE 'test' END AS split
+ FROM (SELECT {V}, row_number() OVER (ORDER BY md5({V} || ':42'), {V}) AS place, count(*) OVER () AS n FROM (SELECT DISTINCT {V} FROM win))""",
+    "p": _POSITIONS.replace("FROM win", f"FROM win SEMI JOIN (SELECT {V} FROM sp WHERE split = 'train') USING ({V})"),
+    "g": _GAPS,
+} | _fill_steps("win") | {
+    "ff": f"SELECT {V}, {TS}, {_FILLED} FROM fc",
+    "kept": f"SELECT * FROM ff JOIN sp USING ({V}) WHERE ({_PRESENT}) / 5.0 >= 0.30",
+    "scaled": f"SELECT {V}, {TS}, split, {_WINDOW_KEY} AS vec_id, [{_SCALED}] AS x FROM kept",
+} | {
+    n: q for n, q in _lloyd_steps(
+        [_STATES], "SELECT vec_id, x, row_number() OVER (ORDER BY md5(vec_id), vec_id) AS place FROM scaled WHERE split = 'train'", len(FEATURES)
+    ).items() if n != "near"
+} | {
+    "stated": f"SELECT {V}, {TS}, arg_min(state, (list_distance(x, c), state)) AS state FROM scaled, fit GROUP BY ALL",
+    "th": _THRESHOLDS.replace("FROM am", f"FROM am JOIN sp USING ({V}) WHERE split = 'train'"),
+    "codes": _CODES,
+    "steps": f"""SELECT {V}, row_number() OVER (PARTITION BY {V} ORDER BY {TS}) AS seq_id, state, action,
+ CASE WHEN {V} % 4 = 0 THEN 1 ELSE 0 END AS died_in_hospital FROM stated JOIN codes USING ({V}, {TS})""",
+    "rewarded": CTE["rewarded"],
+    "moves": CTE["transitions"],
+    "transitions": f"SELECT moves.* FROM moves JOIN sp USING ({V}) WHERE split = 'train'",
+    "mdp": CTE["mdp"],
+} | _GREEDY_STEPS | {
+    "eg": _EPSILON,
+    "held": f"SELECT moves.* FROM moves JOIN sp USING ({V}) WHERE split = 'test'",
+    "policy": CTE["policy"].replace("FROM transitions", "FROM held"),
+    "lg": f"""SELECT {V}, seq_id - 1 AS t, h.state, h.action, reward, coalesce(e.probability, 0) AS pi, nullif(coalesce(e.probability, 0), 0) / p.probability AS ratio
+ FROM held h JOIN policy p USING (state, action) LEFT JOIN eg e USING (state, action)""",
+    "sv": _OPE_STEPS["sv"],
+    "rn": f"""SELECT lg.*, CASE WHEN min(pi) OVER upto > 0 THEN exp(sum(ln(ratio)) OVER upto) ELSE 0 END AS w,
+ CASE WHEN t = 0 THEN 1 WHEN min(pi) OVER before > 0 THEN exp(sum(ln(ratio)) OVER before) ELSE 0 END AS wp FROM lg
+ WINDOW upto AS (PARTITION BY {V} ORDER BY t), before AS (PARTITION BY {V} ORDER BY t ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)""",
+    "gains": f"""SELECT {V}, sum(pow({_GAMMA}::DOUBLE, t) * reward) AS observed, any_value(coalesce(v, 0)) FILTER (t = 0) AS direct,
+ arg_max(w, t) * sum(pow({_GAMMA}::DOUBLE, t) * reward) AS trajectory, sum(pow({_GAMMA}::DOUBLE, t) * w * reward) AS per_decision,
+ sum(pow({_GAMMA}::DOUBLE, t) * (w * (reward - coalesce(q, 0)) + wp * coalesce(v, 0))) AS doubly_robust
+ FROM rn LEFT JOIN sv USING (state) LEFT JOIN qt USING (state, action) GROUP BY {V}""",
+}
+_METHODS = ("observed", "direct", "trajectory", "per_decision", "doubly_robust")
+
+
+def run_rows(spark, sf):
+    """Windows with amounts, features, outcome and a key, fitted on the training visits."""
+    rows = windows(spark, sf).join(amounts(spark, sf), [V, TS]).withColumns({
+        "died_in_hospital": (F.col(V) % 4 == 0).cast("int"),
+        "window_key": F.concat_ws(":", F.col(V).cast("string"), F.unix_seconds(F.col(TS).cast("timestamp")).cast("string")),
+    })
+    return policy_run.fitted_rows(rows, FEATURES, "window_key", fluids="fluid_intake_sum", vasopressors="average_gamma", clusters=_STATES)
+
+
+@query(
+    "run_states_and_actions",
+    with_ctes(WINDOWS, f"SELECT {V}, {TS}, split, state, action FROM stated JOIN codes USING ({V}, {TS}) JOIN sp USING ({V})", **_RUN_STEPS),
+)
+def run_states(spark, sf):
+    return run_rows(spark, sf).select(V, TS, "split", "state", "action")
+
+
+@query(
+    "run_policy_on_test",
+    with_ctes(WINDOWS, " UNION ALL ".join(f"SELECT '{m}' AS method, round(avg({m}), 4) AS estimate FROM gains" for m in _METHODS), **_RUN_STEPS),
+)
+def run_policy(spark, sf):
+    rows = cut_lineage(run_rows(spark, sf))
+    found = policy_run.evaluated_policy(rows, sweeps=_SWEEPS, rate=_RATE, discount=_DISCOUNT, gamma=_GAMMA)
+    return rounded(found, "estimate", digits=4)

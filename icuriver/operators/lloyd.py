@@ -14,10 +14,8 @@ from icuriver.session import cut_lineage
 
 #: Rounds at most, and the squared shift of all centres, as a share of the mean variance, that ends them.
 MAX_ROUNDS, TOLERANCE = 300, 1e-4
-#: Distances that a task holds at once.
-BLOCK = 1 << 21
-#: Two distances this close, as a share of the squared lengths, are measured again without rounding tricks.
-CLOSE = 1e-9
+#: Distances that a task holds at once: few enough to stay in a core's cache.
+BLOCK = 1 << 17
 
 Centres = Mapping[int, np.ndarray]
 
@@ -25,22 +23,42 @@ Centres = Mapping[int, np.ndarray]
 def nearest_centres(x: np.ndarray, centres: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Place and squared distance of each row's closest centre, the first at a tie.
 
-    Matrix products find it; where the runner-up is within rounding of it, differences decide.
+    Products in single precision, of values shifted and scaled to the unit range, find it; where
+    others are within their rounding of it, differences in double precision decide. Equal centres
+    count once.
     """
-    at, far = np.zeros(len(x), np.int64), np.zeros(len(x))
-    square = (centres**2).sum(axis=1)
-    step = max(1, BLOCK // max(1, len(centres)))
+    at = np.zeros(len(x), np.int64)
+    _, first = np.unique(centres, axis=0, return_index=True)
+    first.sort()
+    several, dims = centres[first], centres.shape[1]
+    middle = several.mean(axis=0)
+    shifted, moved = x - middle, several - middle
+    scale = max(np.abs(shifted).max(initial=0.0), np.abs(moved).max(initial=0.0)) or 1.0
+    shifted, moved = shifted / scale, moved / scale
+    square = (moved**2).sum(axis=1)
+    # the last column brings in the square of the centre
+    left = np.ones((len(x), dims + 1), np.float32)
+    left[:, :dims] = shifted
+    right = np.concatenate((-2 * moved, square[:, None]), axis=1).astype(np.float32).T
+    reach = np.sqrt((shifted**2).sum(axis=1)) + np.sqrt(square.max(initial=0.0))
+    room = (4 * (dims + 8) * 2.0**-24 * reach**2).astype(np.float32)
+    step = max(1, BLOCK // len(several))
     for a in range(0, len(x), step):
-        part = x[a : a + step]
-        score = square - 2 * part @ centres.T
+        score = left[a : a + step] @ right
+        rows = np.arange(len(score))
         own = score.argmin(axis=1)
-        room = CLOSE * ((part**2).sum(axis=1) + square.max(initial=0))
-        unsure = np.flatnonzero((score <= (score[np.arange(len(part)), own] + room)[:, None]).sum(axis=1) > 1)
-        for k in unsure.tolist():
-            own[k] = ((part[k] - centres) ** 2).sum(axis=1).argmin()
+        least = score[rows, own] + room[a : a + step]
+        score[rows, own] = np.inf
+        unsure = np.flatnonzero(score.min(axis=1) <= least)
         at[a : a + step] = own
-        far[a : a + step] = ((part - centres[own]) ** 2).sum(axis=1)
-    return at, far
+        if len(unsure):
+            score[unsure, own[unsure]] = -np.inf
+            row, centre = np.nonzero(score[unsure] <= least[unsure, None])
+            far = ((x[a + unsure[row]] - several[centre]) ** 2).sum(axis=1)
+            order = np.lexsort((centre, far, row))
+            at[a + unsure] = centre[order[np.searchsorted(row[order], np.arange(len(unsure)))]]
+    at = first[at]
+    return at, ((x - centres[at]) ** 2).sum(axis=1)
 
 
 def _sums(centres: Centres, dims: int):
@@ -55,14 +73,13 @@ def _sums(centres: Centres, dims: int):
             x = column.flatten().to_numpy(zero_copy_only=False).reshape(-1, dims)
             if not np.isfinite(x).all():
                 raise ValueError("a vector has a component that is not finite")
+            across = np.ascontiguousarray(x.T)
             for k, (count, vectors, cost) in total.items():
                 at, far = nearest_centres(x, centres[k])
                 count += np.bincount(at, minlength=len(count))
                 cost += np.bincount(at, weights=far, minlength=len(count))
-                order = np.argsort(at, kind="stable")
-                groups = np.flatnonzero(np.diff(at[order], prepend=-1))
-                if len(groups):
-                    vectors[at[order][groups]] += np.add.reduceat(x[order], groups, axis=0)
+                for i, part in enumerate(across):
+                    vectors[:, i] += np.bincount(at, weights=part, minlength=len(count))
         rows = [(k, s) for k, (count, _, _) in total.items() for s in np.flatnonzero(count).tolist()]
         names = ["cluster_size", "state", "n", "vector", "cost"]
         kinds = [pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.float64()), pa.float64()]

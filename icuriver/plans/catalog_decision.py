@@ -444,7 +444,7 @@ def f8(spark, sf):
 
 @query("f9_embed_and_cluster")
 def f9(spark, sf):
-    rows = wide_vectors(spark, sf).cache()
+    rows = states.few_parts(wide_vectors(spark, sf)).cache()
     embedded, centres = states.embed_and_cluster(rows, [f"x{i}" for i in range(_DIM)], dims=8, k=_STATES, keep=["vec_id"])
     return embedded.select("vec_id", "embedding", "state")
 

@@ -361,3 +361,22 @@ def test_shards_are_even_and_keep_equal_texts(spark, few_docs, odd_docs, no_docs
 def test_longest_first_places_the_largest_first():
     placed = sharding.longest_first([("a", 7), ("b", 6), ("c", 5), ("d", 4), ("e", 4)], 2)
     assert placed == {"a": 0, "b": 1, "c": 1, "d": 0, "e": 0}
+
+
+def test_pieces_take_little_memory_beside_the_text():
+    """A worker holds arrays for a slice of the batch, not for all of it."""
+    import tracemalloc
+
+    with open(public_tokenizers.path("byte_bpe_50k.json"), "rb") as f:
+        content = f.read()
+    text = "".join(f"row {k % 997} of the table, and so on; " for k in range(300)).encode()
+    n = 4_000_000 // len(text)
+    data, borders = np.frombuffer(text * n, np.uint8), np.arange(n + 1) * len(text)
+    alone = next(packing.token_lists(data[: len(text)], borders[:2], content))
+    tracemalloc.start()
+    try:
+        assert all(np.array_equal(ids, alone) for ids in packing.token_lists(data, borders, content))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 32e6
